@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import byte_bpe, fm_index, kneser_ney, simhash, storage, token_shards
+from tessella.llm import byte_bpe, fm_index, kneser_ney, simhash, storage, token_shards, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.held_out_scores(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_shards": op1_token_shards,
     "op2_byte_bpe": op2_byte_bpe,
+    "op5_toxicity": op5_toxicity,
     "op6_kneser_ney": op6_kneser_ney,
     "op7_simhash": op7_simhash,
     "op8_fm_index": op8_fm_index,
