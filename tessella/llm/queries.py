@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import byte_bpe, fm_index, kneser_ney, simhash, storage, token_shards, toxicity
+from tessella.llm import audio, byte_bpe, fm_index, kneser_ney, quotes, rollup, simhash, storage, token_shards, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,16 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotes(table(spark, sf_dir, "conversations"))
+
+
+def op4_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return rollup.replayed(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,13 +59,47 @@ def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_index.digests(fm_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op9_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audio.digests(storage.written(audio.as_media(table(spark, sf_dir, "documents")), "media"))
+
+
+#: The contract's rules: verdict, host, path.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.rule_table(spark, URL_RULES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_shards": op1_token_shards,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_quote_links": op3_quote_links,
+    "op4_token_rollup": op4_token_rollup,
     "op5_toxicity": op5_toxicity,
     "op6_kneser_ney": op6_kneser_ney,
     "op7_simhash": op7_simhash,
     "op8_fm_index": op8_fm_index,
+    "op9_audio": op9_audio,
+    "op10_url_filter": op10_url_filter,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_url_filter": r"""
+        WITH cut AS (
+            SELECT page_id, strpos(coalesce(url, ''), '://') AS pos, url FROM pages
+        ), rest AS (
+            SELECT page_id, CASE WHEN pos > 0 THEN substr(url, pos + 3) ELSE '' END AS r FROM cut
+        ), parts AS (
+            SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM rest
+        ), rules(verdict, h, p) AS (
+            VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+        ), fits AS (
+            SELECT page_id, host, path, h || p AS rule, verdict, row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(h || p) DESC NULLS LAST) AS k
+            FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+        )
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE k = 1
+    """,
+}
