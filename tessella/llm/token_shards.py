@@ -13,18 +13,18 @@ own ids; an empty table gives an empty file; columns other than doc_id and text
 
 from __future__ import annotations
 
+import gc
 import os
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm import storage
+from tessella.llm import splitting, storage
 
 SHARD_SCHEMA = (
     "part int, shard int, part_start bigint, n_tokens bigint, doc_ids array<bigint>, doc_tokens array<int>, base int, "
@@ -137,8 +137,6 @@ class _Words(dict):
         self.model = model
 
     def __missing__(self, word: str) -> bytes:
-        from array import array
-
         shown = word if word.isascii() else "".join([BYTE_SIGNS[b] for b in word.encode()])
         self[word] = ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
         return ids
@@ -163,7 +161,9 @@ class WordEncoder:
     the vocabulary has another splitter.
     """
 
+    #: The splitter of the vocabulary, and the same with the commonest kind first; no two kinds begin alike.
     PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    SAME = r"\p{L}+|'(?:s|t|re|ve|m|ll|d)|\p{N}|[^\s\p{L}\p{N}]+"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -172,24 +172,24 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.plain = self.PIECES in str(self.tokenizer.pre_tokenizer).replace("\\\\", "\\") and "Lowercase()" in str(self.tokenizer.normalizer)
-        self.split = regex.compile(self.PIECES).findall
-        self.odd = re.compile("[^\t\n\x0b\x0c\r -~\xa1-\xac\xae-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u205e\u20ac]|<\\|").search
+        self.split = splitting.compiled(self.SAME)
         self.cache = _Words(self.tokenizer.model)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as 32-bit little-endian integers."""
         out: list = [None] * len(texts)
         hard = []
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-        get = self.cache.__getitem__
+        get, odd, split = self.cache.__getitem__, splitting.odd, self.split
         for k, t in enumerate(texts):
-            if not self.plain or self.odd(t):
+            if not self.plain or "<|" in t or odd(t):
                 hard.append(k)
             else:
-                out[k] = np.frombuffer(b"".join(map(get, self.split(t.lower()))), np.uint32)
+                out[k] = b"".join(map(get, split(t.lower())))
         if hard:
             for k, e in zip(hard, self.tokenizer.encode_batch_fast([texts[k] for k in hard], add_special_tokens=False), strict=True):
-                out[k] = np.asarray(e.ids, np.uint32)
+                out[k] = np.asarray(e.ids, "<u4").tobytes()
         return out
 
 
@@ -216,15 +216,16 @@ def encode_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 2, shard_t
         from pyspark import TaskContext
 
         coder, part, shard, start = WordEncoder(tokenizer_path), TaskContext.get().partitionId(), 0, 0
-        end = np.array([end_id], np.uint32)
+        gc.freeze()  # the vocabulary stays; words come and go without cycles
+        end = np.array([end_id], "<u4").tobytes()
         doc_ids: list = []
         sizes: list[int] = []
-        held: list[np.ndarray] = []
+        held: list[bytes] = []
         base = max(coder.size, end_id + 1)
 
         def flush() -> pa.RecordBatch:
             nonlocal shard, start, doc_ids, sizes, held
-            ids = np.concatenate(held)
+            ids = np.frombuffer(b"".join(held), "<u4")
             rules, lengths, symbols = repair(ids, base)
             width = 2 if base + len(rules) <= 1 << 16 else 4
             row = {
@@ -238,9 +239,9 @@ def encode_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 2, shard_t
         for ids, texts in _chunks(batches):
             for i, e in zip(ids, coder.encode(texts), strict=True):
                 doc_ids.append(i)
-                sizes.append(len(e) + 1)
-                held += [e, end]
-                pending += len(e) + 1
+                sizes.append(len(e) // 4 + 1)
+                held += (e, end)
+                pending += sizes[-1]
                 if pending >= shard_tokens:
                     yield flush()
                     pending = 0
