@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20
@@ -240,8 +241,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-SCHEMA = "doc_id bigint, n_words bigint, n_hit bigint, items array<string>, spans array<struct<begin:bigint,end:bigint>>"
-_ARROW = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))])
+FOUND = [("n_words", "bigint", pa.int64()), ("n_hit", "bigint", pa.int64()), ("items", "array<string>", pa.list_(pa.string())), ("spans", "array<struct<begin:bigint,end:bigint>>", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))]
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
@@ -252,18 +252,21 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
         yield [tuple(r) for r in small.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()]
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per document: n_words, n_hit, the items with windows in it and the merged spans of word positions to remove."""
+def annotated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: list[str] | None = None) -> DataFrame:
+    """docs (all columns or those of keep) with n_words, n_hit, items (those with windows in the document) and spans (word
+    positions that they cover, merged). Columns of these names give way."""
     context = docs.sparkSession.sparkContext
     blocks = [context.broadcast(items) for items in _blocks(benchmark)]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in {n for n, _, _ in FOUND}]
+    rows = docs.select("text", *[docs[c].alias(f"kept_{c}") for c in keep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only = Phrases(blocks[0].value, window) if len(blocks) == 1 else None
-        ids: list = []
+        pieces: list[pa.RecordBatch] = []
         held: list[list[bytes]] = []
         size = 0
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             items: list[set] = [set() for _ in held]
             spans: list[list] = [[] for _ in held]
             for block in blocks:
@@ -271,22 +274,34 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
                     items[d] |= i
                     spans[d] += s
             spans = [merged(s) for s in spans]
-            rows = [ids, [len(w) for w in held], [sum(z - a for a, z in s) for s in spans], [sorted(i) for i in items], [[{"begin": a, "end": z} for a, z in s] for s in spans]]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, _ARROW.types, strict=True)], schema=_ARROW)
+            found = [[len(w) for w in held], [sum(z - a for a, z in s) for s in spans], [sorted(i) for i in items], [[{"begin": a, "end": z} for a, z in s] for s in spans]]
+            at = 0
+            for piece in pieces:
+                mine = [pa.array(c[at : at + piece.num_rows], t) for c, (_, _, t) in zip(found, FOUND, strict=True)]
+                yield pa.RecordBatch.from_arrays([*piece.columns[1:], *mine], [*keep, *[n for n, _, _ in FOUND]])
+                at += piece.num_rows
 
         for b in batches:
-            for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                words = words_of(t.as_py())
-                ids.append(i)
-                held.append(words)
-                size += len(words)
+            begin = 0
+            for k, t in enumerate(b.column(0)):
+                held.append(words_of(t.as_py()))
+                size += len(held[-1])
                 if size >= SHARD_WORDS:
-                    yield flush()
-                    ids, held, size = [], [], 0
-        if ids:
-            yield flush()
+                    pieces.append(b.slice(begin, k + 1 - begin))
+                    yield from flush()
+                    pieces, held, size, begin = [], [], 0, k + 1
+            if begin < b.num_rows:
+                pieces.append(b.slice(begin))
+        if held:
+            yield from flush()
+
+    schema = StructType([StructField(c, docs.schema[c].dataType) for c in keep] + StructType.fromDDL(", ".join(f"{n} {t}" for n, t, _ in FOUND)).fields)
+    return rows.mapInArrow(run, schema)
 
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, SCHEMA)
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Per document: doc_id, n_words, n_hit, items, spans."""
+    return annotated(docs.selectExpr("cast(doc_id as bigint) doc_id", "text"), benchmark, window, ["doc_id"])
 
 
 def digests(found: DataFrame) -> DataFrame:
