@@ -15,14 +15,16 @@ doc_id and text pass through `encode_documents` if asked for.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
+from tessella.llm import splitting
+
 MAX_STATES = 40_000
 MAX_PAIRS = 500_000
 MAX_WORDS = 250_000
@@ -51,6 +53,7 @@ class MergeTransducer:
                 if node == len(self.token_at):
                     self.token_at.append(-1)
             self.token_at[node] = rank
+        self.begins: dict[bytes, tuple[list[int], int | None]] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.stable: dict[int, bool] = {}
         self.reset()
@@ -154,35 +157,54 @@ class MergeTransducer:
             move = moves.get(state << 8 | b)
             if move is None:
                 if len(self.state) >= MAX_STATES:
-                    return self._simulate(word)
+                    return self._simulate(word, out)
                 move = self._make_move(state, b)
             state = move[0]
             if move[1]:
                 out += move[1]
-        return out + list(self.final[state])
+        out += self.final[state]
+        return out
 
-    def _simulate(self, word: bytes) -> list[int]:
-        """The same machine, one walk at a time: the longest token that may follow first, back to shorter ones at a dead
-        end. A prefix has one tokenisation, so a place that led nowhere once never needs another look."""
+    def _beginnings(self, four: bytes) -> tuple[list[int], int | None]:
+        """The entries that begin four bytes, the shortest first, and the trie node after all four."""
+        node, found = 0, []
+        for b in four:
+            node = self.children.get(node << 8 | b)
+            if node is None:
+                break
+            if self.token_at[node] >= 0:
+                found.append(self.token_at[node])
+        if len(self.begins) > MAX_PAIRS:
+            self.begins.clear()
+        self.begins[four] = found, node if len(four) == 4 else None
+        return self.begins[four]
+
+    def _simulate(self, word: bytes, out: list[int]) -> list[int]:
+        """The same machine from what it has put out, one walk at a time: the longest token that may follow first, back
+        to shorter ones at a dead end. A prefix has one tokenisation, so a place that led nowhere once never needs
+        another look, and what has been put out stays."""
         if (whole := self.ranks.get(word)) is not None:
             return [whole]
-        child, token_at, known, size = self.children.get, self.token_at, self.stable.get, self.size
-        n, at, before, dead = len(word), 0, -1, set()
-        out: list[int] = []
+        child, token_at, known, size, begins = self.children.get, self.token_at, self.stable.get, self.size, self.begins.get
+        n, at, before, dead = len(word), sum(map(size.__getitem__, out)), out[-1] if out else -1, set()
         rest: list[list[int]] = []
         open_: list[int] | None = None
         while at < n:
             if open_ is None:
-                open_, node = [], 0
-                for b in word[at : at + self.longest]:
-                    node = child(node << 8 | b)
-                    if node is None:
-                        break
-                    if token_at[node] >= 0:
-                        open_.append(token_at[node])
+                four = word[at : at + 4]
+                found, node = begins(four) or self._beginnings(four)
+                open_ = found.copy()
+                if node is not None:
+                    for b in word[at + 4 : at + self.longest]:
+                        node = child(node << 8 | b)
+                        if node is None:
+                            break
+                        if token_at[node] >= 0:
+                            open_.append(token_at[node])
             while open_:
                 token = open_.pop()
-                if at + size[token] in dead:
+                to = at + size[token]
+                if dead and to in dead:
                     continue
                 if before < 0:
                     good = self.parts_of(token) is not None
@@ -191,7 +213,7 @@ class MergeTransducer:
                 if good:
                     out.append(token)
                     rest.append(open_)
-                    at, before, open_ = at + size[token], token, None
+                    at, before, open_ = to, token, None
                     break
             else:
                 dead.add(at)
@@ -200,11 +222,19 @@ class MergeTransducer:
         return out
 
 
+def _whole(data: bytes) -> bool:
+    try:
+        data.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
 class Utf8Stream:
     """Tokens to text, chunk by chunk: bytes of a sign that is not complete wait for the next chunk.
 
     The machine has a state for each way to be inside a sign. For each token its effect on every state is worked out
-    once, so a chunk costs a step a token, and none where all tokens are whole signs.
+    once, so a chunk costs a step a token, and none where the chunk begins and ends with whole signs.
     """
 
     #: (lowest, highest) first byte -> ranges of the bytes that must follow; from the Unicode standard's table 3-7.
@@ -215,14 +245,8 @@ class Utf8Stream:
 
     def __init__(self, token_bytes: dict[int, bytes]):
         self.token_bytes = token_bytes
-        self.whole: set[int] = set()
+        self.whole = {t for t, b in token_bytes.items() if _whole(b)}
         self.effect: dict[tuple, tuple | None] = {}
-        for t, b in token_bytes.items():
-            try:
-                b.decode()
-                self.whole.add(t)
-            except UnicodeDecodeError:
-                pass
         self.restart()
 
     def restart(self) -> None:
@@ -238,7 +262,7 @@ class Utf8Stream:
     def feed(self, tokens: list[int]) -> bytes:
         """The bytes of the signs completed so far."""
         data = self.waiting + b"".join(map(self.token_bytes.__getitem__, tokens))
-        if not self.state and self.whole.issuperset(tokens):
+        if not self.state and _whole(data):
             return data
         for t in tokens:
             if self.state or t not in self.whole:
@@ -278,7 +302,7 @@ class _Words(dict):
 class ByteBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.machine = MergeTransducer(ranks)
-        self.split = regex.compile(pattern).findall
+        self.split = splitting.compiled(pattern)
         self.words = _Words(self.machine)
         self.stream = Utf8Stream(self.machine.token_bytes)
 
@@ -331,6 +355,7 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = ByteBpe(load_ranks(ranks_path), pattern)
+        gc.freeze()  # the vocabulary stays; words come and go without cycles
         decimal = {t: str(t) for t in coder.machine.token_bytes}.__getitem__
         for b in batches:
             rows = []
