@@ -92,7 +92,7 @@ def sort_suffixes(text: np.ndarray, bits: int) -> np.ndarray:
     open_ = np.ones(n, bool)
     for d in range(take):
         here = np.zeros(n, np.int64)
-        here[: n - d] = text[d:]
+        here[: max(0, n - d)] = text[d:]
         here[~open_] = 0
         key = (key << bits) | here
         open_ &= here > 0
