@@ -45,7 +45,7 @@ WORD_CLASSES = {
     REPORT: "said says say told tells called calls wrote writes reported claimed quoted sagte sagt dit disait dijo dice".split(),
 }
 MARKS = {'"': OPEN, "“": OPEN, "«": OPEN, "„": OPEN, "”": CLOSE, "»": CLOSE} | dict.fromkeys(".!?;:\n", STOP)
-tokens_of = re.compile(r"[^\W_]+(?:n't)?|[.!?;:\n\"“”«»„]").findall
+tokens_of = re.compile(r"[^\W_]+(?:'t)?|[.!?;:\n\"“”«»„]").findall
 SCOPE = 3
 KINDS = ("plain", "aimed", "negated", "reported", "threat")
 #: Prior means and precisions: bias, log of all weight, log of the weight of each kind but plain.
