@@ -45,7 +45,7 @@ def pivoted(stats: DataFrame, order: str, field: str, rasters: list[str], fields
     "agg_field,base_raster": a row for each group, columns <stat>_<raster>, statistics outside, rasters inside.
     "base_raster,agg_field": a row for each raster, columns <stat>_<group>, statistics outside, groups inside.
     """
-    values = [F.first(f).alias(f) for f in fields]
+    values = [F.first(F.col(f"`{f}`")).alias(f) for f in fields]
     if normal_order(order) == ORDERS[0]:
         wide = stats.groupBy("group").pivot("raster", rasters).agg(*values)
         names = [(f"{r}_{f}" if len(fields) > 1 else r, f"{f}_{r}") for f in fields for r in rasters]

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions.scalar import is_nodata
-from tessella.model import STAT_FIELDS, normal_percentiles, percentile_name
+from tessella.model import normal_percentiles, percentile_name
 
 NAN = float("nan")
 
@@ -66,7 +66,7 @@ def filled(stats: DataFrame, cube: DataFrame, keys: list[str]) -> DataFrame:
         same = one if same is None else same & one
     zero = {"count": 0, "nodata_count": 0, "valid_count": 0, "sum": 0.0, "total_count": 0}
     fields = [c for c in stats.columns if c not in keys]
-    return cube.join(right, same, "left").select(*keys, *[F.coalesce(F.col(f), F.lit(zero[f]).cast(stats.schema[f].dataType)).alias(f) if f in zero else F.col(f) for f in fields])
+    return cube.join(right, same, "left").select(*keys, *[F.coalesce(F.col(f), F.lit(zero[f]).cast(stats.schema[f].dataType)).alias(f) if f in zero else F.col(f"`{f}`") for f in fields])
 
 
 def complete_cube(spark: SparkSession, groups: DataFrame, rasters: list[str]) -> DataFrame:
@@ -75,20 +75,18 @@ def complete_cube(spark: SparkSession, groups: DataFrame, rasters: list[str]) ->
     return groups.select("group").distinct().crossJoin(F.broadcast(names))
 
 
-def grouping_sets(rows: DataFrame, groupings: list[str], percentiles=(), **options) -> DataFrame:
-    """Several groupings of the same rows in one pass: a row for each value of each grouping.
+def grouping_sets(rows: DataFrame, groupings: list[str], percentiles=(), always: list[str] | None = None, **options) -> DataFrame:
+    """Several groupings of the same rows in one pass: a row for each value of each grouping (and of the always columns).
 
-    Columns: grouping (which), group (its value as text, null is a group), the statistics.
+    Columns: grouping (which), group (its value as text, null is a group), the always columns, the statistics.
     """
-    view = rows.groupingSets([[F.col(g)] for g in groupings], *[F.col(g) for g in groupings])
-    keys = F.struct(*[F.grouping(g).alias(g) for g in groupings])
-    out = view.agg(keys.alias("rolled"), *aggregates(percentiles, **options))
+    always = always or []
+    view = rows.groupingSets([[F.col(x) for x in (*always, g)] for g in groupings], *[F.col(x) for x in (*always, *groupings)])
+    out = view.agg(F.struct(*[F.grouping(g).alias(g) for g in groupings]).alias("rolled"), *aggregates(percentiles, **options))
     which, value = F.lit(None).cast("string"), F.lit(None).cast("string")
     for g in groupings:
         mine = F.col(f"rolled.{g}") == 0
         which, value = F.when(mine, F.lit(g)).otherwise(which), F.when(mine, F.col(g).cast("string")).otherwise(value)
-    fields = [c for c in out.columns if c not in groupings and c != "rolled"]
-    return out.select(which.alias("grouping"), value.alias("group"), *fields)
+    names = [c for c in out.columns if c not in (*groupings, *always, "rolled")]
+    return out.select(which.alias("grouping"), value.alias("group"), *always, *[F.col(f"`{c}`") for c in names])
 
-
-FIELD_TYPES = dict.fromkeys(STAT_FIELDS, "double") | dict.fromkeys(("count", "nodata_count", "valid_count"), "bigint")
