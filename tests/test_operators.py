@@ -1,0 +1,231 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tessella.functions import geometry, scalar
+from tessella.model import Grid, normal_percentiles, percentile_name, percentiles_of
+from tessella.operators import assign, report, stats
+from tessella.plans import zonal
+from tests.writers import square
+
+GRID = Grid(0.0, 1.0, 10.0, -1.0, 10, 10)
+
+
+def zones_df(spark, shapes):
+    """shapes: fid -> (polygons or None, group)."""
+    return spark.createDataFrame([(f, geometry.to_wkb(p) if p else None, g) for f, (p, g) in shapes.items()], "fid bigint, geom binary, group string")
+
+
+def pixels_df(spark, array, raster="r"):
+    return spark.createDataFrame([(raster, r, c, float(v)) for (r, c), v in np.ndenumerate(array)], "raster string, row int, col int, value double")
+
+
+def strips_df(spark, array, raster="r"):
+    from tessella.sources.geotiff import strips
+
+    return spark.createDataFrame([tuple(x.values()) for x in strips(raster, array.astype(float), 0, 0).to_pylist()], "raster string, row int, tile int, values array<double>")
+
+
+def brute_cells(shapes, grid, overlap="last", fallback=True):
+    """fid -> set of cells, centre by centre."""
+    inside = {}
+    for fid, (polygons, _) in shapes.items():
+        cells = set()
+        for r in range(grid.height):
+            for c in range(grid.width):
+                x, y = grid.x0 + (c + 0.5) * grid.dx, grid.y0 + (r + 0.5) * grid.dy
+                n = 0
+                for ring in (r for p in polygons or [] for r in p):
+                    for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1], strict=True):
+                        n += (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax
+                if n % 2:
+                    cells.add((r, c))
+        inside[fid] = cells
+    if overlap == "last":
+        inside = {f: {c for c in s if not any(c in inside[g] for g in inside if g > f)} for f, s in inside.items()}
+    if fallback:
+        for fid, (polygons, _) in shapes.items():
+            if not inside[fid] and polygons:
+                xs, ys = zip(*[q for p in polygons for r in p for q in r], strict=True)
+                gx, gy = sorted((x - grid.x0) / grid.dx for x in (min(xs), max(xs))), sorted((y - grid.y0) / grid.dy for y in (min(ys), max(ys)))
+                cut = lambda v, n: max(0, min(n, v))
+                inside[fid] = {(r, c) for r in range(cut(int(gy[0]), grid.height), cut(math.ceil(gy[1]), grid.height)) for c in range(cut(int(gx[0]), grid.width), cut(math.ceil(gx[1]), grid.width))}
+    return inside
+
+
+SHAPES = {
+    1: ([square(1.2, 1.2, 5.3, 5.3) + square(2.2, 2.2, 4.3, 4.3)], "hole"),
+    2: ([square(6.2, 6.2, 8.3, 8.3), square(0.2, 8.2, 1.3, 9.3)], "parts"),
+    3: ([square(3.1, 6.6, 3.3, 6.8)], "speck"),
+    4: ([square(-3.0, 9.6, 0.2, 9.9)], "edge speck"),
+    5: ([square(50, 50, 60, 60)], "outside"),
+    6: ([square(4.2, 4.2, 7.3, 7.3)], None),
+    7: (None, "no geometry"),
+    8: ([square(4.4, 4.4, 7.1, 7.1)], ""),  # covers all of 6
+    9: ([[[(9.1, 0.3), (9.9, 4.7), (7.3, 3.1)]]], "hole"),
+}
+
+
+@pytest.mark.parametrize("overlap", ["last", "all"])
+@pytest.mark.parametrize("fallback", [True, False])
+def test_assignment(spark, overlap, fallback):
+    edges = geometry.edges_of(zones_df(spark, SHAPES), None)
+    want = {(f, r, c) for f, s in brute_cells(SHAPES, GRID, overlap, fallback).items() for r, c in s}
+    got = assign.assign(edges, GRID, overlap, fallback).collect()
+    assert len(got) == len(set(got)) and {tuple(r) for r in got} == want
+    for tile in (3, 256):
+        owners = assign.strip_owners(edges, GRID, overlap, fallback, tile).collect()
+        assert {(f, r.row, r.tile * tile + k) for r in owners for k, fs in enumerate(r.owners) for f in fs} == want
+    with pytest.raises(ValueError):
+        assign.resolve(None, "first")
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.tuples(st.integers(-2, 12), st.integers(-2, 12)), min_size=3, max_size=6), min_size=1, max_size=4), st.sampled_from([(0.0, 1.0, 10.0, -1.0), (10.0, -1.0, 0.0, 1.0), (-1.0, 0.7, 11.0, -0.9)]))
+def test_assignment_of_any_polygons(spark, polygons, at):
+    grid = Grid(*at, 12, 9)
+    shapes = {k: ([[[(x + 0.13 + 0.011 * y, y + 0.17 + 0.007 * x) for x, y in p]]], "g") for k, p in enumerate(polygons)}
+    edges = geometry.edges_of(zones_df(spark, shapes), None)
+    for overlap in ("last", "all"):
+        want = {(f, r, c) for f, s in brute_cells(shapes, grid, overlap, False).items() for r, c in s}
+        assert {tuple(r) for r in assign.assign(edges, grid, overlap, False).collect()} == want
+
+
+def test_statistics_of_zones(spark):
+    values = np.random.default_rng(5).normal(10, 5, (10, 10)).round(2)
+    values[2, 3] = values[7, 7] = -9999
+    values[4, 4] = -9998.95  # close enough to nodata
+    zones, cells = zones_df(spark, SHAPES), brute_cells(SHAPES, GRID)
+    edges = geometry.edges_of(zones, None)
+    args = (GRID, ["r", "absent"], -9999.0)
+    a = zonal.zonal_statistics(zones, edges, pixels_df(spark, values), *args, percentiles=(5, 50, 97.5))
+    b = zonal.zonal_statistics_of_strips(zones, edges, strips_df(spark, values), *args, percentiles=(5, 50, 97.5))
+    for df in (a, b):
+        got = {(r.group, r.raster): r.asDict() for r in df.collect()}
+        assert len(got) == len({g for _, g in SHAPES.values()}) * 2
+        for group in {g for _, g in SHAPES.values()}:
+            v = np.array([values[c] for f, (_, g) in SHAPES.items() if g == group for c in cells[f]])
+            ok = v[~np.isclose(v, -9999)] if len(v) else v
+            r = got[group, "r"]
+            assert (r["count"], r["nodata_count"], r["valid_count"]) == (len(v), len(v) - len(ok), len(ok))
+            if len(ok):
+                want = [ok.min(), ok.max(), ok.sum(), ok.std(), *np.percentile(ok, [5, 50, 97.5])]
+                assert np.allclose([r[k] for k in ("min", "max", "sum", "stdev", "p5", "p50", "p97.5")], want)
+            else:
+                assert r["sum"] == 0 and r["min"] is r["max"] is r["stdev"] is r["p50"] is None
+            assert got[group, "absent"]["count"] == 0 and got[group, "absent"]["sum"] == 0.0 and got[group, "absent"]["min"] is None
+
+
+def one(spark, values, nodata=None, nan_is_nodata=True, **options):
+    df = spark.createDataFrame([("g", v) for v in values], "g string, value double")
+    return stats.summarise(stats.marked(df, nodata, nan_is_nodata), ["g"], **options).first()
+
+
+@pytest.mark.parametrize("nodata", [-9999.0, 0.0, -2147483648.0, float("inf"), 1e-12])
+def test_nodata_is_numpys_isclose(spark, nodata):
+    values = [nodata, nodata * (1 + 9e-6), nodata * (1 + 1.2e-5), nodata + 5e-9, nodata + 2e-8, 1.0, -9998.95, -9998.8, float("nan"), float("inf"), float("-inf")]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "k int, v double")
+    got = [r[0] for r in df.select("k", scalar.is_nodata(F.col("v"), F.lit(nodata)).alias("m")).orderBy("k").select("m").collect()]
+    assert got == np.isclose(values, nodata).tolist()
+
+
+def test_nan_rules(spark):
+    nan = float("nan")
+    r = one(spark, [1.0, nan, 3.0], nan)
+    assert (r["count"], r["nodata_count"], r["min"], r["max"], r["sum"]) == (3, 1, 1.0, 3.0, 4.0)
+    for r in (one(spark, [1.0, nan, 3.0], None, percentiles=(50,)), one(spark, [1.0, nan, 3.0], nan, False, percentiles=(50,))):
+        assert r["valid_count"] == 3 and all(math.isnan(r[k]) for k in ("min", "max", "sum", "stdev", "p50"))
+    assert one(spark, [1.0, 2.0], None)["nodata_count"] == 0
+
+
+def test_switches(spark):
+    r = one(spark, [5.0, 5.0, 1.0, 2.0], 5.0, ignore_nodata=False, extra=("avg", "median", "total_count"))
+    assert (r["count"], r["nodata_count"], r["valid_count"], r["sum"], r["avg"], r["median"], r["total_count"]) == (4, 2, 2, 13.0, 3.25, 3.5, 4)
+    assert r["stdev"] == pytest.approx(np.std([5, 5, 1, 2]))
+    assert one(spark, [200.0, 200.0])["sum"] == 400.0  # no small-integer wrap
+    assert one(spark, [16777217.0], percentiles=(50,), float32=True)["p50"] == 16777216.0
+    assert one(spark, list(map(float, range(1001))), percentiles=(50,), approximate=10000)["p50"] == 500.0
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.floats(-1e6, 1e6, allow_subnormal=False), min_size=1, max_size=40), st.floats(-100, 100))
+def test_invariants(spark, values, nodata):
+    r = one(spark, values, nodata, percentiles=(5, 25, 50, 75, 95))
+    assert r["count"] == r["valid_count"] + r["nodata_count"] == len(values)
+    if r["valid_count"]:
+        line = [r["min"], r["p5"], r["p25"], r["p50"], r["p75"], r["p95"], r["max"]]
+        assert all(a <= b + 1e-6 for a, b in zip(line, line[1:], strict=False))
+
+
+def test_grouping_sets_keep_null_groups(spark):
+    df = spark.createDataFrame([("a", None, 1.0), (None, "x", 2.0), ("a", "x", 4.0)], "g string, h string, value double").withColumn("missing", F.lit(False))
+    got = {(r.grouping, r.group): r["sum"] for r in stats.grouping_sets(df, ["g", "h"]).collect()}
+    assert got == {("g", "a"): 5.0, ("g", None): 2.0, ("h", None): 1.0, ("h", "x"): 6.0}
+
+
+def test_windows_and_boxes(spark):
+    boxes = spark.createDataFrame([(1, 1.2, 2.2, 3.1, 4.8), (2, -5.0, -5.0, 0.5, 0.5), (3, 20.0, 0.0, 30.0, 1.0), (4, 3.0, 3.0, 3.0, 3.0)], "fid bigint, minx double, miny double, maxx double, maxy double")
+    got = {r.fid: (r.col_lo, r.col_hi, r.row_lo, r.row_hi) for r in assign.window_of_box(boxes, GRID).collect()}
+    assert got == {1: (1, 4, 5, 8), 2: (0, 1, 9, 10)}
+    lit = lambda *v: tuple(F.lit(float(x)) for x in v)
+    row = spark.range(1).select(assign.boxes_meet(lit(0, 0, 1, 1), lit(1, 1, 2, 2)).alias("a"), assign.boxes_meet(lit(0, 0, 1, 1), lit(1.1, 0, 2, 1)).alias("b")).first()
+    assert row.a and not row.b
+
+
+def long(spark):
+    rows = [("9", "r1", 1.0, 3), ("10", "r1", 2.0, 4), (None, "r1", None, 0), ("9", "r2", 5.5, 1), ("10", "r2", None, 0), (None, "r2", 7.0, 2)]
+    return spark.createDataFrame(rows, "group string, raster string, min double, count bigint")
+
+
+def test_reports(spark):
+    a = report.csv_text(report.pivoted(long(spark), " agg_field , base_raster", "zone", ["r1", "r2"], ["min", "count"]))
+    assert a == "zone,min_r1,min_r2,count_r1,count_r2\r\n10,2.0,,4,0\r\n9,1.0,5.5,3,1\r\n,,7.0,0,2\r\n"
+    b = report.csv_text(report.pivoted(long(spark), "base_raster,agg_field", "zone", ["r2", "r1"], ["min", "count"]))
+    assert b == "base_raster,min_10,min_9,min_,count_10,count_9,count_\r\nr2,,5.5,7.0,0,1,2\r\nr1,2.0,1.0,,4,3,0\r\n"
+    c = report.csv_text(report.pivoted(long(spark).drop("count"), "base_raster,agg_field", "zone", ["r1", "r2"], ["min"]))
+    assert c.startswith("base_raster,min_10,min_9,min_\r\n")
+    twice = long(spark).unionByName(long(spark).where("group is null").withColumn("group", F.lit("")))
+    with pytest.raises(ValueError, match="same label"):
+        report.pivoted(twice, "base_raster,agg_field", "zone", ["r1"], ["min"])
+    for bad in ("agg_field", "raster,agg_field", ""):
+        with pytest.raises(ValueError):
+            report.normal_order(bad)
+
+
+def test_stems():
+    assert report.check_stems(["a", "b"]) == ["a", "b"]
+    with pytest.raises(ValueError, match="same name: a"):
+        report.check_stems(["a", "b", "a"])
+    assert report.check_stems(["a", "b", "a"], "last") == ["a", "b"]
+
+
+def test_csv_parts(spark, tmp_path):
+    report.write_csv_parts(long(spark).coalesce(1), str(tmp_path / "out"))
+    (part,) = (tmp_path / "out").glob("part-*.csv")
+    assert part.read_bytes().startswith(b"group,raster,min,count\r\n9,r1,1.0,3\r\n") and b"\r\n,r1,,0\r\n" in part.read_bytes().replace(b'""', b"")
+
+
+def test_percentile_names():
+    assert [percentile_name(p) for p in (5, 5.0, 2.5, 0)] == ["p5", "p5", "p2.5", "p0"]
+    assert normal_percentiles([95, 5, 5.0]) == [5, 95] and percentiles_of(["avg", "p95", "p5", "px"]) == [5, 95]
+    with pytest.raises(ValueError):
+        normal_percentiles([101])
+
+
+def test_scalars(spark):
+    row = spark.range(1).select(scalar.file_stem(F.lit("/a/b.c/some.name.tif")).alias("s"), scalar.trunc_int(F.lit(-2.9)).alias("t"), scalar.label(F.lit(None).cast("int")).alias("l"), scalar.clamp(F.lit(5), 0, 3).alias("c")).first()
+    assert tuple(row) == ("some.name", -2, "", 3)
+
+
+def test_no_nested_loops_in_the_plan(spark):
+    r = random.Random(1)
+    zones = zones_df(spark, SHAPES)
+    edges = geometry.edges_of(zones, None)
+    px = spark.createDataFrame([("r", k, c, r.random()) for k in range(10) for c in range(10)], "raster string, row int, col int, value double")
+    plan = zonal.by_feature(edges, px, GRID)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
