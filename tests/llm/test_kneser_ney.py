@@ -56,7 +56,9 @@ def test_scores(spark, monkeypatch):
     rows = [(k, " ".join(r.choice("a A b c d e f g h the the The été x.".split()) for _ in range(r.randint(0, 60)))) for k in range(120)]
     rows += [(7, None), (8, ""), (None, "a b c"), (3, rows[3][1]), (500, "the " * 70000 + "a\x0bb\x1cc\x85d")]
     check(spark, rows)
-    monkeypatch.setattr(kn, "BLOCK_WORDS", 16)  # many blocks, and tasks that send more than once
+    monkeypatch.setattr(kn, "BLOCK_WORDS", 16)  # many blocks
+    check(spark, rows)
+    monkeypatch.setattr(kn, "HELD_PAIRS", 20)  # tasks that send more than once
     check(spark, rows)
 
 
