@@ -18,6 +18,7 @@ import base64
 import gc
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import pyarrow as pa
@@ -318,6 +319,14 @@ class ByteBpe:
         return out
 
 
+@lru_cache(maxsize=2)
+def coder_of(ranks_path: str, pattern: str) -> ByteBpe:
+    """One coder a worker process: what it has met in one task serves the next."""
+    coder = ByteBpe(load_ranks(ranks_path), pattern)
+    gc.freeze()  # the vocabulary stays; words come and go without cycles
+    return coder
+
+
 DIGEST_SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
@@ -330,7 +339,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
     """doc_id, ids array<int> of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ByteBpe(load_ranks(ranks_path), pattern)
+        coder = coder_of(ranks_path, pattern)
         for b in batches:
             rows = [(i, coder.encode(t)) for i, t in _texts(b)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int32()))], ["doc_id", "ids"])
@@ -342,7 +351,7 @@ def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """doc_id, text of encoded documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ByteBpe(load_ranks(ranks_path), ".")
+        coder = coder_of(ranks_path, ".")
         for b in batches:
             texts = [coder.decode(ids).decode() for ids in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
@@ -354,8 +363,7 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Per document the number of ids, the digest of the ids and the digest of the bytes decoded from them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ByteBpe(load_ranks(ranks_path), pattern)
-        gc.freeze()  # the vocabulary stays; words come and go without cycles
+        coder = coder_of(ranks_path, pattern)
         decimal = {t: str(t) for t in coder.machine.token_bytes}.__getitem__
         for b in batches:
             rows = []
