@@ -34,10 +34,11 @@ def aggregates(percentiles=(), ignore_nodata: bool = True, approximate: int | No
     poisoned = F.count_if(F.isnan(value)) > 0
     guard = lambda c: F.when(poisoned, F.lit(NAN)).otherwise(c)
     sample = value.cast("float").cast("double") if float32 else value
-
-    def percentile(p: float) -> Column:
-        return guard(F.percentile_approx(sample, p / 100, approximate) if approximate else F.percentile(sample, p / 100))
-
+    ps = normal_percentiles([*percentiles, *([50.0] if "median" in extra else [])])
+    # one aggregate for all percentiles: each takes its element, and equal aggregates are computed once
+    points = F.array(*[F.lit(p / 100) for p in ps])
+    every = F.percentile_approx(sample, points, approximate) if approximate else F.percentile(sample, points)
+    percentile = lambda p: guard(F.get(every, ps.index(float(p))))
     named = {
         "min": guard(F.min(value)), "max": guard(F.max(value)), "count": F.count(F.lit(1)), "nodata_count": F.count_if(F.col("missing")), "valid_count": F.count_if(~F.col("missing")),
         "sum": F.coalesce(F.sum(value), F.lit(0.0)), "stdev": F.stddev_pop(value),
@@ -57,6 +58,34 @@ def summarise(rows: DataFrame, keys: list[str], percentiles=(), **options) -> Da
     return rows.groupBy(*keys).agg(*aggregates(percentiles, **options))
 
 
+def counted(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """rows by value, with their number n. For values that repeat much, as in rasters of small integers: counting starts
+    on the map side, so a group of any size becomes at most as many rows as it has values."""
+    return rows.groupBy(*keys, "value", "missing").agg(F.count(F.lit(1)).alias("n"))
+
+
+def weighted_aggregates(percentiles=(), ignore_nodata: bool = True, extra: tuple[str, ...] = ()) -> list[Column]:
+    """`aggregates` over counted rows. The deviation comes from exact sums, so values must be whole numbers."""
+    value = F.when(~F.col("missing"), F.col("value")) if ignore_nodata else F.col("value")
+    used = F.sum(F.when(value.isNotNull(), F.col("n")))
+    mean, square = F.sum(value * F.col("n")) / used, F.sum(value * value * F.col("n")) / used
+    ps = normal_percentiles([*percentiles, *([50.0] if "median" in extra else [])])
+    every = F.percentile(value, F.array(*[F.lit(p / 100) for p in ps]), F.col("n"))
+    total, count_if = F.sum("n"), lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
+    named = {
+        "min": F.min(value), "max": F.max(value), "count": total, "nodata_count": count_if(F.col("missing")), "valid_count": count_if(~F.col("missing")),
+        "sum": F.coalesce(F.sum(value * F.col("n")), F.lit(0.0)), "stdev": F.when(used > 0, F.sqrt(F.greatest(square - mean * mean, F.lit(0.0)))),
+    }
+    named |= {percentile_name(p): F.get(every, ps.index(p)) for p in normal_percentiles(percentiles)}
+    more = {"avg": lambda: mean, "median": lambda: F.get(every, ps.index(50.0)), "total_count": lambda: total}
+    return [c.alias(k) for k, c in named.items()] + [more[x]().alias(x) for x in extra]
+
+
+def summarise_discrete(rows: DataFrame, keys: list[str], percentiles=(), **options) -> DataFrame:
+    """`summarise` for whole numbers that repeat much."""
+    return counted(rows, keys).groupBy(*keys).agg(*weighted_aggregates(percentiles, **options))
+
+
 def filled(stats: DataFrame, cube: DataFrame, keys: list[str]) -> DataFrame:
     """stats with a row for every row of cube: absent groups have counts and sum 0 and null for the rest."""
     right = stats.withColumnsRenamed({k: f"_{k}" for k in keys})
@@ -75,14 +104,15 @@ def complete_cube(spark: SparkSession, groups: DataFrame, rasters: list[str]) ->
     return groups.select("group").distinct().crossJoin(F.broadcast(names))
 
 
-def grouping_sets(rows: DataFrame, groupings: list[str], percentiles=(), always: list[str] | None = None, **options) -> DataFrame:
+def grouping_sets(rows: DataFrame, groupings: list[str], percentiles=(), always: list[str] | None = None, weighted: bool = False, **options) -> DataFrame:
     """Several groupings of the same rows in one pass: a row for each value of each grouping (and of the always columns).
 
-    Columns: grouping (which), group (its value as text, null is a group), the always columns, the statistics.
+    Columns: grouping (which), group (its value as text, null is a group), the always columns, the statistics. weighted:
+    rows are counted.
     """
     always = always or []
     view = rows.groupingSets([[F.col(x) for x in (*always, g)] for g in groupings], *[F.col(x) for x in (*always, *groupings)])
-    out = view.agg(F.struct(*[F.grouping(g).alias(g) for g in groupings]).alias("rolled"), *aggregates(percentiles, **options))
+    out = view.agg(F.struct(*[F.grouping(g).alias(g) for g in groupings]).alias("rolled"), *(weighted_aggregates if weighted else aggregates)(percentiles, **options))
     which, value = F.lit(None).cast("string"), F.lit(None).cast("string")
     for g in groupings:
         mine = F.col(f"rolled.{g}") == 0

@@ -114,9 +114,14 @@ def run_bundle(spark: SparkSession, jobs: list[JobSpec], options: JobOptions = J
     percentiles = sorted({p for j in jobs for p in j.percentiles})
     extra = tuple(x for x in ("avg", "median", "total_count") if any(x in j.operations for j in jobs)) if options.columns == "requested" else ()
     pixels = owned_pixels(spark, zones, rasters, source, options)
+    # small integers: count each zone's values before anything else moves
+    discrete = options.approximate is None and all(r.dtype.strip("<>") in ("u1", "i1", "u2", "i2") for r in rasters)
+    if discrete:
+        pixels = stats.counted(pixels, ["raster", "fid"])
     rows = pixels.join(zones.select("fid", *[F.col(f"`{f}`").alias(f"field_{k}") for k, f in enumerate(fields)]), "fid")
     keys = [f"field_{k}" for k in range(len(fields))]
-    found = stats.grouping_sets(rows, keys, percentiles, always=["raster"], ignore_nodata=options.ignore_nodata, approximate=options.approximate, extra=extra).persist()
+    more = {"weighted": True} if discrete else {"approximate": options.approximate}
+    found = stats.grouping_sets(rows, keys, percentiles, always=["raster"], ignore_nodata=options.ignore_nodata, extra=extra, **more).persist()
     out = {}
     for j in jobs:
         mine = found.where(F.col("grouping") == keys[fields.index(j.agg_field)]).drop("grouping")

@@ -85,6 +85,20 @@ def test_run(spark, project):
     assert table.first()["median_1"] == np.median(want[1])
 
 
+def test_small_integers_are_counted_first(spark, project):
+    path, _ = project
+    (path / "world.yml").write_text((path / "world.yml").read_text().replace("a/*.tif", "a/first.tif"))
+    cfg = config.parse_config(path / "world.yml")
+    table = jobs.run_bundle(spark, [cfg.jobs[0]], jobs.JobOptions(simplify=0.0))["by_name"]
+    assert "percentile" in table._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["name"]: r for r in table.collect()}
+    want, total = expected(GRID, VALUES, lambda s: s[1] or "", 7)
+    for g, v in want.items():
+        assert got[g]["count_first"] == total[g] and got[g]["nodata_count_first"] == total[g] - len(v)
+        if v:
+            assert np.allclose([got[g][f"{k}_first"] for k in ("min", "max", "sum", "stdev", "p5", "p95")], [min(v), max(v), sum(v), np.std(v), *np.percentile(v, [5, 95])])
+
+
 def test_reprojected_zones(spark, project):
     path, _ = project
     from tessella.functions.geometry import transformer

@@ -152,6 +152,17 @@ def test_switches(spark):
     assert one(spark, list(map(float, range(1001))), percentiles=(50,), approximate=10000)["p50"] == 500.0
 
 
+def test_discrete_values(spark):
+    r = random.Random(3)
+    df = spark.createDataFrame([(r.choice("ab"), float(r.choice([0, 1, 7, 200, 255]))) for _ in range(400)] + [("c", 7.0)], "g string, value double")
+    rows = stats.marked(df, 7.0)
+    for options in (dict(), dict(ignore_nodata=False), dict(extra=("avg", "median", "total_count"))):
+        a, b = ({x.g: x.asDict() for x in f(rows, ["g"], (5, 33.3, 95), **options).collect()} for f in (stats.summarise, stats.summarise_discrete))
+        assert a.keys() == b.keys()
+        for g in a:
+            assert a[g].keys() == b[g].keys() and all(a[g][k] == b[g][k] or a[g][k] == pytest.approx(b[g][k]) for k in a[g])
+
+
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(-1e6, 1e6, allow_subnormal=False), min_size=1, max_size=40), st.floats(-100, 100))
 def test_invariants(spark, values, nodata):
