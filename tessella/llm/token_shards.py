@@ -18,6 +18,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -193,6 +194,14 @@ class WordEncoder:
         return out
 
 
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> WordEncoder:
+    """One encoder a worker process: the words it has met in one task serve the next."""
+    encoder = WordEncoder(path)
+    gc.freeze()  # the vocabulary stays; words come and go without cycles
+    return encoder
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
     """(doc_ids, texts) with about BATCH_CHARS characters each."""
     ids, texts, size = [], [], 0
@@ -215,8 +224,7 @@ def encode_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 2, shard_t
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        coder, part, shard, start = WordEncoder(tokenizer_path), TaskContext.get().partitionId(), 0, 0
-        gc.freeze()  # the vocabulary stays; words come and go without cycles
+        coder, part, shard, start = encoder_of(tokenizer_path), TaskContext.get().partitionId(), 0, 0
         end = np.array([end_id], "<u4").tobytes()
         doc_ids: list = []
         sizes: list[int] = []
