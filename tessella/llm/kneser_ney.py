@@ -39,7 +39,9 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 HASH = np.uint64((1 << 56) - 1)
 #: No word contains white space, so these two name no word.
 START, END = b" <", b" >"
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 19
+#: Of a counting task, before it sends what it has.
+HELD_WORDS, HELD_PAIRS = 250_000, 1_500_000
 
 
 def word_hash(word: bytes) -> int:
@@ -158,26 +160,31 @@ def count_pairs(docs: DataFrame, buckets: int) -> DataFrame:
 
         def send() -> Iterator[pa.RecordBatch]:
             table = words.table()
-            before, word = table[keys >> 32], table[keys & 0xFFFFFFFF]
-            home = (before % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((word, before, home))
-            before, word, home, n = before[order], word[order], home[order], counts[order]
-            edge = np.searchsorted(home, np.arange(buckets + 1))
+            home = (table % np.uint64(buckets)).astype(np.int64)
+            firsts, seconds = np.lexsort((table, home)), np.argsort(table)  # word numbers in the order they are sent
+            place = np.empty((2, len(table)), np.int64)
+            place[0, firsts] = place[1, seconds] = np.arange(len(table))
+            ranked = place[0, keys >> 32] << 32 | place[1, keys & 0xFFFFFFFF]
+            order = np.argsort(ranked)
+            ranked, n = ranked[order], counts[order]
+            del order
+            edge = np.searchsorted(ranked, np.searchsorted(home[firsts], np.arange(buckets + 1)) << 32)
             for k in range(buckets):
-                a, z = edge[k], edge[k + 1]
-                if a == z:
+                mine, times = ranked[edge[k] : edge[k + 1]], n[edge[k] : edge[k + 1]]
+                if not len(mine):
                     continue
-                first = np.flatnonzero(np.concatenate(([True], before[a + 1 : z] != before[a : z - 1])))
-                runs = np.diff(np.append(first, z - a))
-                parts = [pack(before[a:z][first]), pack_counts(runs), pack(word[a:z]), pack_counts(n[a:z])]
-                sizes = np.array([len(first), z - a, *map(len, parts)], "<i8").tobytes()
+                before = mine >> 32
+                first = np.flatnonzero(np.concatenate(([True], before[1:] != before[:-1])))
+                runs = np.diff(np.append(first, len(mine)))
+                parts = [pack(table[firsts[before[first]]]), pack_counts(runs), pack(table[seconds[mine & 0xFFFFFFFF]]), pack_counts(times)]
+                sizes = np.array([len(first), len(mine), *map(len, parts)], "<i8").tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([sizes + b"".join(parts)], pa.binary())], ["bucket", "data"])
 
         for _, block in _blocks(batches):
             before, word, _ = _numbers(block, words)
             found, n = np.unique(before << 32 | word, return_counts=True)
             keys, counts = summed((np.concatenate([keys, found]),), np.concatenate([counts, n]))
-            if len(keys) > 8 * BLOCK_WORDS:  # a task of any length stays within bounded memory
+            if len(keys) > HELD_PAIRS or len(words) > HELD_WORDS:  # a task of any length stays within bounded memory
                 yield from send()
                 words = Words()
                 keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
@@ -202,6 +209,7 @@ def build(docs: DataFrame, buckets: int | None = None) -> dict:
     """Count docs and write the model; returns its description (small: names of files, discounts, totals)."""
     spark = docs.sparkSession
     n = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    m = max(16, n // 16)  # buckets of second words: each bucket of pairs sends a row to each, so fewer, longer rows
     root = storage.new_path(spark, "kneser-ney")
 
     def merge_pairs(key: tuple, groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,11 +226,11 @@ def build(docs: DataFrame, buckets: int | None = None) -> dict:
         storage.write_file(f"{root}/contexts-{bucket}.hash", contexts[0].astype("<u8").tobytes())
         storage.write_file(f"{root}/contexts-{bucket}.sums", np.stack(contexts[1:], 1).astype("<i8").tobytes())
         word, kinds, total = summed((word,), np.ones(len(word), np.int64), count)
-        home = (word % np.uint64(n)).astype(np.int64)
+        home = (word % np.uint64(m)).astype(np.int64)
         order = np.argsort(home, kind="stable")
-        edge = np.searchsorted(home[order], np.arange(n + 1))
+        edge = np.searchsorted(home[order], np.arange(m + 1))
         rows: tuple[list, list, list] = ([], [], [])
-        for k in range(n):
+        for k in range(m):
             mine = order[edge[k] : edge[k + 1]]
             if len(mine):
                 parts = [pack(word[mine]), pack_counts(kinds[mine]), pack_counts(total[mine])]
@@ -254,7 +262,7 @@ def build(docs: DataFrame, buckets: int | None = None) -> dict:
     t = totals.select(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "tokens", "kinds", *(F.col("ns")[k] for k in range(4)))]).first()
     seen, e = list(t)[3:], discounts(list(t)[3:])
     left = (e[1] * seen[0] + e[2] * seen[1] + e[3] * (t[0] - seen[0] - seen[1])) / t[2] if t[2] else 1.0
-    return {"root": root, "buckets": n, "words": t[0], "tokens": t[1], "kinds": t[2], "pair_discounts": discounts(list(ns)), "word_discounts": e, "word_left": left}
+    return {"root": root, "buckets": n, "word_buckets": m, "words": t[0], "tokens": t[1], "kinds": t[2], "pair_discounts": discounts(list(ns)), "word_discounts": e, "word_left": left}
 
 
 def discounts(ns: list[int]) -> list[float]:
@@ -289,7 +297,7 @@ class Model:
     def find(self, kind: str, keys: np.ndarray, home: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
         """For each bucket with keys that it has: (their places in keys, the bucket, their places in its arrays)."""
         order = np.lexsort((keys, home))
-        edge = np.searchsorted(home[order], np.arange(self.about["buckets"] + 1))
+        edge = np.searchsorted(home[order], np.arange(self.about["word_buckets" if kind == "words" else "buckets"] + 1))
         for k in np.flatnonzero(np.diff(edge)).tolist():
             mine = order[edge[k] : edge[k + 1]]
             have = self.file(f"{kind}-{k}.hash", "<u8")
@@ -301,7 +309,7 @@ class Model:
     def word_stats(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(count, distinct words before) of word hashes."""
         out = np.zeros((len(words), 2), np.int64)
-        for mine, k, at in self.find("words", words, (words % np.uint64(self.about["buckets"])).astype(np.int64)):
+        for mine, k, at in self.find("words", words, (words % np.uint64(self.about["word_buckets"])).astype(np.int64)):
             out[mine] = self.file(f"words-{k}.counts", "<i8").reshape(-1, 2)[at]
         return out[:, 1], out[:, 0]
 
