@@ -85,6 +85,55 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_quote_links": r"""
+        WITH messages AS (
+            SELECT conv_id, turn, min(struct_pack(role := coalesce(role, ''), text := coalesce(text, ''))) AS m FROM conversations GROUP BY conv_id, turn
+        ), raw AS (
+            SELECT conv_id, turn, m.role AS role, m.text AS text, regexp_matches(m.text, '(?m)^[ \t]*>') AS quoting FROM messages
+        ), lines AS (
+            SELECT conv_id, turn, generate_subscripts(regexp_split_to_array(text, '\r\n|\n|\r'), 1) AS k, unnest(regexp_split_to_array(text, '\r\n|\n|\r')) AS line FROM raw WHERE quoting
+        ), leveled AS (
+            SELECT conv_id, turn, k, length(regexp_replace(regexp_extract(line, '^((?:[ \t]*>)*)', 1), '[^>]', '', 'g')) AS own_level, regexp_replace(line, '^(?:[ \t]*>)+ ?', '') AS line FROM lines
+        ), carried AS (
+            SELECT *, last_value(CASE WHEN k = 1 OR own_level > 0 OR trim(line) <> '' THEN own_level END IGNORE NULLS) OVER (PARTITION BY conv_id, turn ORDER BY k) AS level FROM leveled
+        ), marked AS (
+            SELECT *, CASE WHEN level IS DISTINCT FROM lag(level) OVER (PARTITION BY conv_id, turn ORDER BY k) THEN 1 ELSE 0 END AS new FROM carried
+        ), numbered AS (
+            SELECT *, sum(new) OVER (PARTITION BY conv_id, turn ORDER BY k) AS passage FROM marked
+        ), own AS (
+            SELECT r.conv_id, r.turn, r.role, r.quoting, regexp_replace(CASE WHEN NOT quoting THEN text ELSE coalesce((
+                SELECT string_agg(n.line, chr(10) ORDER BY k) FROM numbered n
+                WHERE n.level = 0 AND n.conv_id IS NOT DISTINCT FROM r.conv_id AND n.turn IS NOT DISTINCT FROM r.turn
+                  AND NOT regexp_matches(trim(n.line), '(?i)^(on .{0,200}wrote|.{0,200} (wrote|schrieb|écrit|escribió)) ?:$')), '') END, '^\s+|\s+$', '', 'g') AS text
+            FROM raw r
+        ), pieces AS (
+            SELECT conv_id, turn, unnest(list_concat([text], regexp_split_to_array(text, '\n[ \t]*\n'), string_split(text, chr(10)))) AS said FROM own
+        ), offers AS (
+            SELECT DISTINCT conv_id, turn, trim(regexp_replace(lower(said), '\s+', ' ', 'g')) AS said FROM pieces
+        ), passages AS (
+            SELECT conv_id, turn, passage, any_value(level) AS level, string_agg(line, chr(10) ORDER BY k) AS text, list(line ORDER BY k) AS ls FROM numbered WHERE level > 0 GROUP BY conv_id, turn, passage
+        ), quoted AS (
+            SELECT DISTINCT conv_id, turn, passage, level, trim(regexp_replace(lower(said), '\s+', ' ', 'g')) AS said FROM (SELECT *, unnest(list_concat([text], ls)) AS said FROM passages)
+        ), found AS (
+            SELECT q.*, (SELECT min(o.turn) FROM offers o WHERE o.said = q.said AND o.conv_id IS NOT DISTINCT FROM q.conv_id) AS near_turn,
+                   (SELECT min(struct_pack(c := o.conv_id, t := o.turn)) FROM offers o WHERE o.said = q.said) AS first
+            FROM quoted q WHERE q.said <> ''
+        ), aimed AS (
+            SELECT *, CASE WHEN near_turn < turn THEN struct_pack(c := conv_id, t := near_turn)
+                           WHEN first.c < conv_id OR (first.c = conv_id AND first.t < turn) THEN first END AS target
+            FROM found
+        ), linked AS (
+            SELECT conv_id, turn, passage, level, max(struct_pack(size := length(said), target := target)) FILTER (target IS NOT NULL) AS best FROM aimed GROUP BY ALL
+        ), told AS (
+            SELECT conv_id, turn, count(*) AS n_quotes, count(best) AS n_linked, max(level) AS depth, max(struct_pack(here := best.target.c = conv_id, target := best.target)) FILTER (level = 1 AND best IS NOT NULL) AS reply
+            FROM linked GROUP BY conv_id, turn
+        ), placed AS (
+            SELECT *, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS previous FROM own
+        )
+        SELECT p.conv_id, p.turn, p.role, p.text, CAST(coalesce(depth, 0) AS INT) AS depth, CAST(coalesce(n_quotes, 0) AS BIGINT) AS n_quotes, CAST(coalesce(n_linked, 0) AS BIGINT) AS n_linked,
+               CASE WHEN reply IS NOT NULL THEN reply.target.c WHEN previous IS NOT NULL THEN p.conv_id END AS reply_conv, coalesce(reply.target.t, previous) AS reply_turn
+        FROM placed p LEFT JOIN told t ON p.conv_id IS NOT DISTINCT FROM t.conv_id AND p.turn IS NOT DISTINCT FROM t.turn
+    """,
     "op10_url_filter": r"""
         WITH cut AS (
             SELECT page_id, strpos(coalesce(url, ''), '://') AS pos, url FROM pages

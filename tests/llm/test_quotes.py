@@ -53,3 +53,37 @@ def test_levels_and_passages(spark):
 def test_no_python_in_the_plan(spark):
     plan = quotes.link_quotes(table(spark))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_against_sql(spark, tmp_path):
+    """The registered SQL on conversations full of quotes, nested, partial, across conversations and of nobody."""
+    import random
+
+    import duckdb
+
+    from tessella.llm.queries import ORACLE_SQL
+
+    r, rows = random.Random(8), []
+    for conv in [*range(25), None]:
+        said: list[str] = []
+        for turn in r.sample([*range(12), None], r.randint(1, 7)):
+            parts = []
+            for _ in range(r.randint(0, 4)):
+                source = r.choice([t for *_, t, _ in rows if t] or ["nothing"]) if r.random() < 0.4 else r.choice(said or ["nothing"])
+                quote = r.choice([source, r.choice(source.split("\n")), "Never said."])
+                parts.append("\n".join(r.choice(["> ", ">", " > "]) + x.upper() for x in quote.split("\n")))
+                parts.append(r.choice(["Ok.", "I see\n\nwhat you mean", "", f"Word {r.randint(0, 30)}", "On Monday Bob wrote:", "  "]))
+            text = r.choice(["\n", "\n\n"]).join(parts) or f"Start {r.randint(0, 9)}\nSecond line"
+            said.append(text)
+            rows.append((conv, turn, r.choice(["user", None]), r.choice([text, text, None]), "x"))
+    rows += rows[:3]
+    df = table(spark, rows)
+    got = sorted((tuple(x) for x in quotes.link_quotes(df).collect()), key=str)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR, depth VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?, ?)", rows)
+    out = con.sql(ORACLE_SQL["op3_quote_links"])
+    want = sorted(out.fetchall(), key=str)
+    assert out.columns == quotes.link_quotes(df).columns
+    assert sum(x[6] > 0 for x in want) > 20 and sum(x[4] > 1 for x in want) > 5
+    assert got == want
