@@ -56,7 +56,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fm_index.digests(fm_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+    return fm_index.digests(fm_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))).drop("spans")
 
 
 def op9_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,6 +134,27 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN reply IS NOT NULL THEN reply.target.c WHEN previous IS NOT NULL THEN p.conv_id END AS reply_conv, coalesce(reply.target.t, previous) AS reply_turn
         FROM placed p LEFT JOIN told t ON p.conv_id IS NOT DISTINCT FROM t.conv_id AND p.turn IS NOT DISTINCT FROM t.turn
     """,
+    "op8_fm_index": r"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        ), items AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+        ), windows AS (
+            SELECT DISTINCT item_id, w[k : k + 9] AS win FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS k FROM items WHERE len(w) > 0)
+        ), lengths AS (
+            SELECT DISTINCT len(win) AS n FROM windows
+        ), places AS (
+            SELECT doc_id, k, n, w[k : k + n - 1] AS win FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM words, lengths WHERE len(w) >= n)
+        ), hits AS (
+            SELECT doc_id, k, n, item_id FROM places JOIN windows USING (win)
+        ), covered AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM (SELECT DISTINCT doc_id, k, n FROM hits)) GROUP BY doc_id
+        ), found AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+    """,
     "op10_url_filter": r"""
         WITH cut AS (
             SELECT page_id, strpos(coalesce(url, ''), '://') AS pos, url FROM pages
