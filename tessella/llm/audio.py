@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tessella.llm import storage
+
 RATE, UP, DOWN, TAPS = 8000, 3, 4, 24
 FRAME, HOP, MELS, FRAMES = 256, 128, 24, 64
 FLOOR = 1e-8
@@ -132,7 +134,7 @@ def as_media(docs: DataFrame) -> DataFrame:
                     [b.column(0).slice(k, 512), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array([wav(payload(t)) for t in texts], pa.binary())], ["doc_id", "n_bytes", "media"]
                 )
 
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, "doc_id bigint, n_bytes bigint, media binary")
+    return storage.in_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text")).mapInArrow(run, "doc_id bigint, n_bytes bigint, media binary")
 
 
 TENSOR_SCHEMA = "doc_id bigint, part int, begin_s double, end_s double, mels array<float>"
@@ -154,7 +156,7 @@ def features(media: DataFrame) -> DataFrame:
                     ["doc_id", "part", "begin_s", "end_s", "mels"],
                 )
 
-    return media.select("doc_id", "media").mapInArrow(run, TENSOR_SCHEMA)
+    return storage.in_batches(media.select("doc_id", "media")).mapInArrow(run, TENSOR_SCHEMA)
 
 
 def as_tensors(table: pa.Table) -> pa.Table:
@@ -188,4 +190,4 @@ def digests(media: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *map(pa.array, rows, kinds)], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
     schema = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, schema)
+    return storage.in_batches(media.select("doc_id", "n_bytes", "media")).mapInArrow(run, schema)

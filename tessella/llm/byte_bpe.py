@@ -24,7 +24,7 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tessella.llm import splitting
+from tessella.llm import splitting, storage
 
 MAX_STATES = 40_000
 MAX_PAIRS = 500_000
@@ -344,7 +344,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
             rows = [(i, coder.encode(t)) for i, t in _texts(b)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, "doc_id bigint, ids array<int>")
+    return storage.in_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text")).mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -374,4 +374,4 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 [], schema=pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
             )
 
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, DIGEST_SCHEMA)
+    return storage.in_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text")).mapInArrow(run, DIGEST_SCHEMA)

@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from tessella.llm import storage
+
 WINDOW = 10
 SHARD_WORDS = 1 << 20
 SAMPLE = 16
@@ -296,7 +298,7 @@ def annotated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep:
             yield from flush()
 
     schema = StructType([StructField(c, docs.schema[c].dataType) for c in keep] + StructType.fromDDL(", ".join(f"{n} {t}" for n, t, _ in FOUND)).fields)
-    return rows.mapInArrow(run, schema)
+    return storage.in_batches(rows).mapInArrow(run, schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -191,7 +191,7 @@ def count_pairs(docs: DataFrame, buckets: int) -> DataFrame:
         if len(keys):
             yield from send()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "bucket int, data binary")
+    return storage.in_batches(docs.select("doc_id", "text")).mapInArrow(run, "bucket int, data binary")
 
 
 def _read_pairs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -260,6 +260,7 @@ def build(docs: DataFrame, buckets: int | None = None) -> dict:
     ns = merged.where("bucket = -1").select(*[F.coalesce(F.sum(F.col("ns")[k]), F.lit(0)) for k in range(4)]).first()
     totals = merged.where("bucket >= 0").select("bucket", "data").groupBy("bucket").applyInArrow(merge_words, "bucket int, words bigint, tokens bigint, kinds bigint, ns array<bigint>")
     t = totals.select(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "tokens", "kinds", *(F.col("ns")[k] for k in range(4)))]).first()
+    storage.drop(merged)
     seen, e = list(t)[3:], discounts(list(t)[3:])
     left = (e[1] * seen[0] + e[2] * seen[1] + e[3] * (t[0] - seen[0] - seen[1])) / t[2] if t[2] else 1.0
     return {"root": root, "buckets": n, "word_buckets": m, "words": t[0], "tokens": t[1], "kinds": t[2], "pair_discounts": discounts(list(ns)), "word_discounts": e, "word_left": left}
@@ -361,7 +362,7 @@ def score(docs: DataFrame, about: dict) -> DataFrame:
             sums = [np.bincount(document, minlength=n), np.bincount(document, weights=count[word] > 0, minlength=n).astype(np.int64), np.bincount(document, weights=base[word], minlength=n), np.bincount(document, weights=log[back], minlength=n)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *map(pa.array, sums)], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
+    return storage.in_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text")).mapInArrow(run, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
 def held_out_scores(docs: DataFrame, modulus: int = 10, rule_out: int = 0) -> DataFrame:

@@ -27,6 +27,19 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Of what a Python worker gets at once; the usual 64 MB, several times over, is much of a small executor's memory.
+ARROW_BYTES = 8 << 20
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """df; batches to Python workers hold ARROW_BYTES at most (or a row), unless the session asks for less."""
+    key, spark = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession
+    now = (spark.conf.get(key, None) or "").rstrip("b")
+    if not now.isdigit() or int(now) > ARROW_BYTES:
+        spark.conf.set(key, ARROW_BYTES)
+    return df
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tessella/{name}-{uuid.uuid4().hex}"
 
@@ -35,14 +48,17 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """df, written once as a Parquet table in the shared folder and read again: cuts lineage, survives lost executors."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     df.write.options(**({"compression": "zstd"} | options)).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    """Remove a path of the shared folder through Hadoop, so that it works for any store."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that `written` made, once nothing reads them any more."""
+    for df in tables:
+        jvm, context = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext
+        p = jvm.org.apache.hadoop.fs.Path(df.written_path)
+        p.getFileSystem(context._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def local_path(uri: str) -> str | None:

@@ -264,7 +264,7 @@ def encode_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 2, shard_t
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("tie"))
     rows = rows.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
-    return rows.select("doc_id", "text").mapInArrow(encode, SHARD_SCHEMA)
+    return storage.in_batches(rows.select("doc_id", "text")).mapInArrow(encode, SHARD_SCHEMA)
 
 
 def read_documents(shards: DataFrame) -> DataFrame:
@@ -295,5 +295,5 @@ def read_documents(shards: DataFrame) -> DataFrame:
                     ["doc_id", "part", "local_start", "n_tokens", "ids_crc32"],
                 )
 
-    out = shards.mapInArrow(decode, ROW_SCHEMA).join(F.broadcast(starts), "part")
+    out = storage.in_batches(shards).mapInArrow(decode, ROW_SCHEMA).join(F.broadcast(starts), "part")
     return out.select("doc_id", (F.col("part_offset") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32", "part", "local_start")

@@ -7,7 +7,7 @@ made when first met and its moves are kept. The composition puts out, for each m
 and its weight; a document's features are the sums by kind, and a logistic model turns them into a score.
 
 Learning, from labelled rows outside the held-out third, never from lang, source, id or quality:
-* insults: words and word beginnings (4 to 6 signs) found in significantly many toxic and hardly any clean texts of a
+* insults: words and word beginnings (4 to 8 signs) found in significantly many toxic and far fewer clean texts of a
   bounded sample (TOXIC_ROWS and CLEAN_ROWS, by hash order). Near copies of a toxic text count once; the test allows for
   the number of candidates. A beginning gives way to a longer one that covers the same texts. The weight is the log odds.
 * the logistic model: a maximum a posteriori fit on the same sample; its prior holds where a kind never occurs.
@@ -35,7 +35,9 @@ from tessella.llm import storage
 TOXIC_ROWS, CLEAN_ROWS = 1500, 7500
 THRESHOLD = 0.7
 MAX_WORDS = 400_000
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
+#: How many times likelier an atom must be in toxic texts than in clean ones.
+LIKELIER = 15.0
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, OPEN, CLOSE, STOP = range(9)
 SEED_INSULTS = "idiot moron stupid loser scum dumb fool imbecile pathetic worthless".split()
 WORD_CLASSES = {
@@ -189,7 +191,7 @@ def _word_sets(rows: DataFrame) -> DataFrame:
                 out[1].append(np.array(_sketch(words) if words else [0] * 4, np.uint64).view(np.int64).tolist())
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.list_(pa.string())), pa.array(out[1], pa.list_(pa.int64()))], ["words", "sketch"])
 
-    return rows.select("text").mapInArrow(run, "words array<string>, sketch array<bigint>")
+    return storage.in_batches(rows.select("text")).mapInArrow(run, "words array<string>, sketch array<bigint>")
 
 
 def _groups(sketches: Iterable[list[int]]) -> list[int]:
@@ -246,8 +248,9 @@ def learn_insults(rows: DataFrame, alpha: float = 0.5) -> dict[str, float]:
     kept = {}
     for a in likely:
         t, c = seen[a], clean.get(a, 0)
-        if t >= 9 * c and _tail(t + c, t, p) + math.log(max(tested, 1)) < math.log(alpha):
-            kept[a] = math.log((t + 0.5) / (n_toxic + 1)) - math.log((c + 0.5) / (n_clean + 1))
+        odds = math.log((t + 0.5) / (n_toxic + 1)) - math.log((c + 0.5) / (n_clean + 1))
+        if odds >= math.log(LIKELIER) and _tail(t + c, t, p) + math.log(max(tested, 1)) < math.log(alpha):
+            kept[a] = odds
         elif a in atoms and t + c > 5:
             del atoms[a]  # the data speak against a seed
     for a in list(kept):
@@ -283,6 +286,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer:
             yield pa.RecordBatch.from_arrays([pa.array([scorer.kinds(t.as_py()) for t in b.column(0)], pa.list_(pa.float64())), b.column(1)], ["kinds", "toxic"])
 
     got = rows.select("text", "toxic").mapInArrow(run, "kinds array<double>, toxic int").collect()
+    storage.drop(rows)
     return Scorer(atoms, fit(np.array([r["kinds"] for r in got]).reshape(-1, 5), np.array([r["toxic"] for r in got], float)))
 
 
@@ -301,7 +305,7 @@ def scored(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOLD) -> Dat
             score = 1 / (1 + np.exp(-np.clip(design(kinds) @ weights, -30, 30)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))], [*keep, "score", "predicted"])
 
-    return docs.select(keep).mapInArrow(run, schema)
+    return storage.in_batches(docs.select(keep)).mapInArrow(run, schema)
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
