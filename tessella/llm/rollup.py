@@ -128,17 +128,17 @@ def token_counts(docs: DataFrame, ranks_path: str, pattern: str, version: str) -
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(n, pa.int64())], ["doc_id", "source", "lang", "copy_of", "tokens"])
 
     rows = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(source as string) source", "cast(lang as string) lang", "sha2(cast(coalesce(text, '') as binary), 256) copy_of", "text")
-    return rows.mapInArrow(run, "doc_id bigint, source string, lang string, copy_of string, tokens bigint")
+    return storage.in_batches(rows).mapInArrow(run, "doc_id bigint, source string, lang string, copy_of string, tokens bigint")
 
 
 def replayed(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """The totals after a history over all documents: estimates inserted, revised by real counts, later copies of a text
-    deleted, a second tokenizer version inserted; every batch is sent twice, which changes nothing."""
+    """The totals after a history over all documents: estimates inserted, revised by real counts, texts with copies
+    replaced by the first of them (all rows deleted, the first by doc_id inserted, which needs no join on texts), a second
+    tokenizer version inserted; every batch is sent twice, which changes nothing."""
     spark = docs.sparkSession
     store = TokenRollup(spark, storage.new_path(spark, "rollup"))
     counts = storage.written(token_counts(docs, ranks_path, pattern, "byte_bpe_50k"), "token-counts")
-    first = counts.groupBy("copy_of").agg(F.min("doc_id").alias("first_id"))
-    copies = counts.join(first, "copy_of").where("doc_id > first_id")
+    first = counts.groupBy("copy_of").agg(F.min(F.struct("doc_id", "source", "lang", "tokens")).alias("first")).select("first.*")
     none, estimate = F.lit(None).cast("bigint"), F.lit(1).cast("bigint")
 
     def feed(rows: DataFrame, op: str, version: str, tokens: Column, old: Column) -> DataFrame:
@@ -147,11 +147,12 @@ def replayed(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     history = {
         "estimate": feed(counts, "insert", "byte_bpe_50k", estimate, none),
         "recount": feed(counts, "revise", "byte_bpe_50k", F.col("tokens"), estimate),
-        "drop copies": feed(copies, "delete", "byte_bpe_50k", F.col("tokens"), none),
+        "drop copies": feed(counts, "delete", "byte_bpe_50k", F.col("tokens"), none).unionByName(feed(first, "insert", "byte_bpe_50k", F.col("tokens"), none)),
         "with end marks": feed(counts, "insert", "byte_bpe_50k+end", F.col("tokens") + 1, none),
     }
     for batch_id, changes in history.items():
         store.commit(batch_id, changes)
         store.commit(batch_id, changes)
     store.compact()
+    storage.drop(counts)
     return store.totals()
