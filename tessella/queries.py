@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tessella.functions.scalar import is_nodata
 from tessella.model import Grid, percentile_name
 from tessella.operators import assign, report, stats
+from tessella.operators.percentiles import selected_percentiles
 from tessella.plans import zonal
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -320,6 +321,19 @@ def agg_percentile_float32(spark: SparkSession, d: str) -> DataFrame:
     return line_stats(spark, d, "l_extendedprice", None, ["p5", "p50", "p95"], (5, 50, 95), float32=True)
 
 
+@query(sql_percentiles((5, 50, 95)))
+def agg_percentiles_selected(spark: SparkSession, d: str) -> DataFrame:
+    """The same numbers without any group in one task."""
+    rows = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("grp"), F.col("l_extendedprice").alias("value"))
+    return rounded(selected_percentiles(rows, ["grp"], (5, 50, 95), limit=2000))
+
+
+@query(sql_lines("l_quantity", OK50, sql_stats(OK50, (5, 50, 95))))
+def agg_discrete(spark: SparkSession, d: str) -> DataFrame:
+    """Whole numbers counted by value first."""
+    return rounded(stats.summarise_discrete(line_rows(spark, d, "l_quantity", 50.0), ["grp"], (5, 50, 95)))
+
+
 # ---------------------------------------------------------------- several rasters, reports
 
 STEMS = {"price": "l_extendedprice", "discount": "l_discount", "tax": "l_tax"}
