@@ -13,17 +13,18 @@ from tessella.llm import storage
 
 
 def components(pairs: DataFrame) -> DataFrame:
-    """(node, label) for every node that a pair (a, b) names; label is the smallest node of its component."""
+    """(node, label) for every node that a pair (a, b) names; label is the smallest node of its component. A written table."""
     both = pairs.select(F.col("a").alias("node"), F.col("b").alias("to")).unionByName(pairs.select(F.col("b").alias("node"), F.col("a").alias("to"))).where("node <> to")
     links = storage.written(both.distinct(), "links")
     labels = storage.written(links.groupBy("node").agg(F.min("to").alias("label")).select("node", F.least("node", "label").alias("label")), "labels")
     while True:
         seen = links.join(labels.select(F.col("node").alias("to"), "label"), "to").groupBy("node").agg(F.min("label").alias("near"))
-        lower = labels.join(seen, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
+        lower = labels.select("node", "label").join(seen, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         roots = lower.select(F.col("node").alias("root"), F.col("label").alias("above"))
         jumped = lower.join(roots, lower.label == roots.root).select("node", "was", F.least("label", "above").alias("label"))
         moved = storage.written(jumped, "labels")
-        done = moved.where("label <> was").isEmpty()
-        labels = moved.select("node", "label")
-        if done:
+        storage.drop(labels)
+        labels = moved
+        if moved.where("label <> was").isEmpty():
+            storage.drop(links)
             return labels

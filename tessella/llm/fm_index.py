@@ -254,12 +254,13 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
         yield [tuple(r) for r in small.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()]
 
 
-def annotated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: list[str] | None = None) -> DataFrame:
+def annotated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: list[str] | None = None, prefix: str = "") -> DataFrame:
     """docs (all columns or those of keep) with n_words, n_hit, items (those with windows in the document) and spans (word
-    positions that they cover, merged). Columns of these names give way."""
+    positions that they cover, merged), their names after a prefix. Columns of these names give way."""
     context = docs.sparkSession.sparkContext
     blocks = [context.broadcast(items) for items in _blocks(benchmark)]
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in {n for n, _, _ in FOUND}]
+    added = [prefix + n for n, _, _ in FOUND]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
     rows = docs.select("text", *[docs[c].alias(f"kept_{c}") for c in keep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,7 +281,7 @@ def annotated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep:
             at = 0
             for piece in pieces:
                 mine = [pa.array(c[at : at + piece.num_rows], t) for c, (_, _, t) in zip(found, FOUND, strict=True)]
-                yield pa.RecordBatch.from_arrays([*piece.columns[1:], *mine], [*keep, *[n for n, _, _ in FOUND]])
+                yield pa.RecordBatch.from_arrays([*piece.columns[1:], *mine], [*keep, *added])
                 at += piece.num_rows
 
         for b in batches:
@@ -297,7 +298,7 @@ def annotated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep:
         if held:
             yield from flush()
 
-    schema = StructType([StructField(c, docs.schema[c].dataType) for c in keep] + StructType.fromDDL(", ".join(f"{n} {t}" for n, t, _ in FOUND)).fields)
+    schema = StructType([StructField(c, docs.schema[c].dataType) for c in keep] + StructType.fromDDL(", ".join(f"{prefix}{n} {t}" for n, t, _ in FOUND)).fields)
     return storage.in_batches(rows).mapInArrow(run, schema)
 
 

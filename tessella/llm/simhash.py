@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
             fps = np.array([fingerprint(t.as_py(), width) for t in b.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], ["doc_id", "fp"])
 
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    return storage.in_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text")).mapInArrow(run, "doc_id bigint, fp bigint")
 
 
 def _flips(bits: range) -> Column:
@@ -94,16 +94,20 @@ def links(nodes: DataFrame, hot: int = HOT) -> DataFrame:
     around = at_hot.select("fp", F.explode(F.concat(F.array(F.lit(0).cast("bigint")), _flips(range(64)))).alias("m")).select("fp", F.col("fp").bitwiseXOR(F.col("m")).alias("middle"))
     met = around.groupBy("middle").agg(F.min("fp").alias("a"), F.collect_list("fp").alias("members")).where(F.size("members") > 1)
     stars = met.select("a", F.explode("members").alias("b")).where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2))
-    return storage.written(pairs.unionByName(stars).distinct(), "simhash-links")
+    out = storage.written(pairs.unionByName(stars).distinct(), "simhash-links")
+    storage.drop(found)
+    return out
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, hot: int = HOT) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hexadecimal digits), component_id (the smallest doc_id it is linked to)."""
     prints = storage.written(fingerprints(docs, width), "simhash-fingerprints")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    labels = components(links(nodes.select("fp"), hot))
-    named = nodes.join(labels, nodes.fp == labels.node, "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
+    pairs = links(nodes.select("fp"), hot)
+    labels = components(pairs)
+    named = nodes.join(labels.select("node", "label"), F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
     named = storage.written(named, "simhash-components")
+    storage.drop(pairs, labels)
     smallest = named.groupBy("label").agg(F.min("least").alias("component_id"))
     of_print = named.join(smallest, "label").select("fp", "component_id")
     return prints.join(of_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

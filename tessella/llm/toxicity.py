@@ -290,12 +290,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer:
     return Scorer(atoms, fit(np.array([r["kinds"] for r in got]).reshape(-1, 5), np.array([r["toxic"] for r in got], float)))
 
 
-def scored(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with score and predicted added (any columns of these names give way)."""
+def scored(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOLD, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """docs with score and predicted added, under other names if given (any columns of these names give way)."""
     from pyspark.sql.types import DoubleType, IntegerType, StructType
 
-    keep = [c for c in docs.columns if c not in ("score", "predicted")]
-    schema = StructType(docs.select(keep).schema.fields).add("score", DoubleType()).add("predicted", IntegerType())
+    keep = [c for c in docs.columns if c not in names]
+    schema = StructType(docs.select(keep).schema.fields).add(names[0], DoubleType()).add(names[1], IntegerType())
     atoms, weights, at = scorer.atoms, scorer.weights, keep.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,7 +303,7 @@ def scored(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOLD) -> Dat
         for b in batches:
             kinds = np.array([mine.kinds(t.as_py()) for t in b.column(at)]).reshape(-1, 5)
             score = 1 / (1 + np.exp(-np.clip(design(kinds) @ weights, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))], [*keep, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))], [*keep, *names])
 
     return storage.in_batches(docs.select(keep)).mapInArrow(run, schema)
 

@@ -66,6 +66,16 @@ def test_stages_on_an_empty_table_and_repeated_rows(spark, folder):
     assert len(corpus_pipeline.drop_toxic(spark, twice, d).collect()) == 4
 
 
+def test_columns_with_clashing_names_stay(spark, folder):
+    d, docs, _ = folder
+    names = ["score", "predicted", "n_hit", "n_words", "items", "spans", "fp", "least", "label", "node", "component_id", "fingerprint", "kept_id", "tie"]
+    df = spark.read.parquet(f"{d}/documents.parquet").where("doc_id < 40").selectExpr("*", *[f"'{n}' as {n}" for n in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, df, d)
+        assert out.columns == df.columns and out.count() > 20 and all(r[n] == n for r in out.collect() for n in names)
+    assert corpus_pipeline.encode(spark, df, d).count() == 40
+
+
 def test_queries_are_registered():
     names = list(queries.QUERIES)
     assert [next(n for n in names if n.startswith(f"op{k}_")) for k in range(1, 11)]
