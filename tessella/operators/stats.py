@@ -6,7 +6,7 @@ value contributes. A NaN that is not nodata makes every statistic of its group b
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.scalar import is_nodata
@@ -98,10 +98,10 @@ def filled(stats: DataFrame, cube: DataFrame, keys: list[str]) -> DataFrame:
     return cube.join(right, same, "left").select(*keys, *[F.coalesce(F.col(f), F.lit(zero[f]).cast(stats.schema[f].dataType)).alias(f) if f in zero else F.col(f"`{f}`") for f in fields])
 
 
-def complete_cube(spark: SparkSession, groups: DataFrame, rasters: list[str]) -> DataFrame:
-    """Every (group, raster): rasters is the short list of a job's files."""
-    names = spark.createDataFrame([(r, k) for k, r in enumerate(rasters)], "raster string, ordinal int")
-    return groups.select("group").distinct().crossJoin(F.broadcast(names))
+def complete_cube(groups: DataFrame, rasters: list[str]) -> DataFrame:
+    """Every (group, raster, ordinal): rasters is the list of a job's files, spread from each group without a join."""
+    names = F.array(*[F.struct(F.lit(r).alias("raster"), F.lit(k).alias("ordinal")) for k, r in enumerate(rasters)])
+    return groups.select("group").distinct().select("group", F.inline(names))
 
 
 def grouping_sets(rows: DataFrame, groupings: list[str], percentiles=(), always: list[str] | None = None, weighted: bool = False, **options) -> DataFrame:

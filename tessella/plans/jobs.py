@@ -126,7 +126,7 @@ def run_bundle(spark: SparkSession, jobs: list[JobSpec], options: JobOptions = J
     for j in jobs:
         mine = found.where(F.col("grouping") == keys[fields.index(j.agg_field)]).drop("grouping")
         groups = zones.select(F.col(f"`{j.agg_field}`").cast("string").alias("group"))
-        full = stats.filled(mine, stats.complete_cube(spark, groups, names), ["group", "raster"])
+        full = stats.filled(mine, stats.complete_cube(groups, names), ["group", "raster"])
         out[j.tag] = report.pivoted(full, j.row_col_order, j.agg_field, names, report_fields(j, options))
     return out
 

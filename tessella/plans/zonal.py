@@ -41,7 +41,7 @@ def zonal_statistics_of_strips(
 def finish(zones: DataFrame, owned: DataFrame, rasters: list[str], nodata: Column | float | None, percentiles, nan_is_nodata: bool, **options) -> DataFrame:
     """Aggregate (group, raster, value) rows and add the groups that have none."""
     found = stats.summarise(stats.marked(owned, nodata, nan_is_nodata), ["group", "raster"], percentiles, **options)
-    cube = stats.complete_cube(zones.sparkSession, zones, rasters)
+    cube = stats.complete_cube(zones, rasters)
     return stats.filled(found, cube, ["group", "raster"])
 
 

@@ -458,7 +458,7 @@ def cube_complete(spark: SparkSession, d: str) -> DataFrame:
     """Every group and raster has a row, also where no value was met."""
     rows = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).where("n_regionkey < 3")
     rows = rows.select(F.col("n_regionkey").alias("group"), F.when(F.col("c_acctbal") < 0, "debt").otherwise("balance").alias("raster"), F.col("c_acctbal").alias("value"))
-    cube = stats.complete_cube(spark, table(spark, d, "region").select(F.col("r_regionkey").alias("group")), ["balance", "debt"])
+    cube = stats.complete_cube(table(spark, d, "region").select(F.col("r_regionkey").alias("group")), ["balance", "debt"])
     return rounded(stats.filled(stats.summarise(stats.marked(rows), ["group", "raster"]), cube, ["group", "raster"]).withColumnRenamed("group", "grp"))
 
 
