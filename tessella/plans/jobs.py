@@ -12,7 +12,7 @@ import argparse
 import logging
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 from pathlib import Path
 
@@ -131,6 +131,31 @@ def run_bundle(spark: SparkSession, jobs: list[JobSpec], options: JobOptions = J
     return out
 
 
+def raster_statistics(
+    spark: SparkSession, raster: str, vector: str, field: str, layer: str | None = None, percentiles=(), polygons_might_overlap: bool = True, options: JobOptions = JobOptions(),
+) -> DataFrame:
+    """Statistics of one band of one raster by an attribute of a layer: group (of the attribute's type), raster, ...
+
+    Where polygons might overlap a cell counts for each that has it, else for the last one.
+    """
+    _register(spark)
+    layer = gpkg.resolve_layer(vector, layer)
+    if field not in gpkg.fields(vector, layer):
+        raise ValueError(f"layer {layer!r} has no field {field!r}")
+    one = geotiff.open_raster(raster, options.band)
+    zones = load_zones(spark, vector, layer, [field]).withColumnRenamed(field, "group")
+    options = replace(options, overlap="all" if polygons_might_overlap else "last")
+    pixels = owned_pixels(spark, zones, [one], gpkg.layer_crs(vector, layer), options)
+    rows = pixels.join(zones.select("fid", "group"), "fid")
+    found = stats.summarise(rows, ["group", "raster"], percentiles, ignore_nodata=options.ignore_nodata, approximate=options.approximate)
+    return stats.filled(found, stats.complete_cube(zones, [one.name]), ["group", "raster"])
+
+
+def as_dict(table: DataFrame) -> dict:
+    """{group: {statistic: value}} of one raster's statistics."""
+    return {r["group"]: {k: v for k, v in r.asDict().items() if k not in ("group", "raster")} for r in table.collect()}
+
+
 def bundles(jobs: list[JobSpec]) -> list[list[JobSpec]]:
     by: dict = defaultdict(list)
     for j in jobs:

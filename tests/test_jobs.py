@@ -113,6 +113,21 @@ def test_reprojected_zones(spark, project):
     assert {g: r["count_first"] for g, r in rows.items()} == total
 
 
+def test_one_raster(spark, project):
+    path, _ = project
+    args = (str(path / "a/first.tif"), str(path / "z.gpkg"), "code")
+    for overlap, name in ((True, "all"), (False, "last")):
+        got = jobs.as_dict(jobs.raster_statistics(spark, *args, percentiles=(5, 2.5), polygons_might_overlap=overlap, options=jobs.JobOptions(simplify=0.0)))
+        cells = brute_cells({f: (p, n) for f, (p, n, _) in SHAPES.items()}, GRID, name)
+        assert set(got) == {1, 2, None, 10, 9}
+        for f, (_, _, code) in SHAPES.items():
+            v = np.array([float(VALUES[c]) for c in cells[f]])
+            assert list(got[code]) == ["min", "max", "count", "nodata_count", "valid_count", "sum", "stdev", "p2.5", "p5"]
+            assert got[code]["count"] == len(v) and got[code]["sum"] == v[v != 7].sum()
+    with pytest.raises(ValueError, match="no field"):
+        jobs.raster_statistics(spark, *args[:2], "absent")
+
+
 BROKEN = [
     ("[project]", "[projekt]", ValueError, "no \\[project\\]"), ("name = world", "name = other", ValueError, "file is named"), ("name = world", "name = world\nlog_level = LOUD", ValueError, "log_level"),
     ("global_work_dir", "work_dir", ValueError, "global_work_dir"), ("global_output_dir", "output_dir", ValueError, "global_output_dir"), ("[job: by_code]", "[job: by_name]", ValueError, "used twice"), ("[job: by_code]", "[job:by_name]", Exception, "already exists"),
