@@ -18,7 +18,7 @@ def shared_root(spark: SparkSession) -> str:
     """The shared folder's URI; a session that names none and runs on one machine gets a temporary one."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.startswith(("local-cluster", "spark:", "yarn", "k8s:", "mesos:")):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tessella-")
         spark.sparkContext.setCheckpointDir(root)
