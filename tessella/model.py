@@ -13,9 +13,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-#: Operation names that a job may request.
+#: Operation names that a job may request (fixed values).
 OPERATIONS = ("avg", "stdev", "min", "max", "sum", "total_count", "valid_count", "median", "p5", "p10", "p25", "p75", "p90", "p95")
-#: Statistics in the order of reports; percentiles follow, ascending.
+#: Statistics in the order of reports (fixed values); percentiles follow, ascending.
 STAT_FIELDS = ("min", "max", "count", "nodata_count", "valid_count", "sum", "stdev")
 #: What a report has when no group at all was met.
 BARE_FIELDS = ("min", "max", "count", "nodata_count", "sum")

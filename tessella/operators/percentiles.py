@@ -22,7 +22,7 @@ def _cut(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not named and not context.master.startswith("local["):
+        if not named and context.master.startswith(("local-cluster", "spark:", "yarn", "k8s:", "mesos:")):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tessella-"))
     return df.checkpoint()
