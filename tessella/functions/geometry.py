@@ -160,7 +160,8 @@ def _utm(zone: int, south: bool):
 
     def forward(lon, lat):
         lam, s = np.radians(lon) - lon0, np.sin(np.radians(lat))
-        t = np.sinh(np.arctanh(s) - e * np.arctanh(e * s))
+        with np.errstate(divide="ignore"):  # a pole's conformal latitude is infinite
+            t = np.sinh(np.arctanh(s) - e * np.arctanh(e * s))
         xi, eta = np.arctan2(t, np.cos(lam)), np.arctanh(np.sin(lam) / np.sqrt(1 + t * t))
         x = eta + sum(c * np.cos(2 * j * xi) * np.sinh(2 * j * eta) for j, c in enumerate(alpha, 1))
         y = xi + sum(c * np.sin(2 * j * xi) * np.cosh(2 * j * eta) for j, c in enumerate(alpha, 1))
