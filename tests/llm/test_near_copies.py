@@ -60,6 +60,17 @@ def test_the_stage_drops_texts_with_one_word_edited(spark):
     assert sorted(x.doc_id for x in kept.collect()) == [0, 50]
 
 
+def test_the_stage_keeps_a_row_of_each_group_whatever_its_id(spark):
+    r = random.Random(3)
+    text = lambda: " ".join(f"w{r.randrange(500)}" for _ in range(60))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(None, a), (None, b), (None, edited(r, b, 1)), (7, c), (7, d), (7, d), (8, edited(r, c, 1)), (9, e), (None, e), (None, None), (7, None)]
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "").collect()
+    got = [(x.doc_id, x.text) for x in kept]
+    assert len(got) == 6 and (None, a) in got and (7, c) in got and (7, d) in got and (9, e) in got and (7, None) in got
+    assert sum(i is None for i, _ in got) == 2
+
+
 def test_sketches_never_hide_a_similar_pair(spark):
     r = random.Random(4)
     sets = [near_copies.shingle_set(" ".join(f"w{r.randrange(10**6)}" for _ in range(n))) for n in (300, 1020, 1030, 4000)]
