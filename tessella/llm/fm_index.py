@@ -13,7 +13,8 @@ Documents are never shuffled: a task builds the shards of what it reads. The phr
 PHRASE_BYTES goes in blocks of items, one after the other over each shard, and is never whole in one process.
 
 Cases: null and empty texts have no words and no hits; items without words never occur; an item shorter than a window is
-one window; an item repeated under several ids counts for each; repeated documents are judged alike; other columns are
+one window; an item repeated under several ids counts for each; items with a null
+id hit like others and count, all together, as one item without a name; repeated documents are judged alike; other columns are
 ignored; with an empty benchmark nothing is hit.
 """
 
@@ -179,11 +180,11 @@ class Phrases:
         owners: list[list[int]] = []
         for item_id, text in items:
             words = words_of(text)
-            if item_id is None or not words:
+            if not words:
                 continue
             ids = [self.symbol.setdefault(w, len(self.symbol) + 1) for w in words]
             number = len(self.item_ids)
-            self.item_ids.append(str(item_id))
+            self.item_ids.append(None if item_id is None else str(item_id))
             for k in range(max(1, len(ids) - window + 1)):
                 phrase = tuple(ids[k : k + window])
                 at = seen.setdefault(phrase, len(owners))
@@ -277,7 +278,7 @@ def annotated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep:
                     items[d] |= i
                     spans[d] += s
             spans = [merged(s) for s in spans]
-            found = [[len(w) for w in held], [sum(z - a for a, z in s) for s in spans], [sorted(i) for i in items], [[{"begin": a, "end": z} for a, z in s] for s in spans]]
+            found = [[len(w) for w in held], [sum(z - a for a, z in s) for s in spans], [sorted(i, key=lambda x: (x is None, x or "")) for i in items], [[{"begin": a, "end": z} for a, z in s] for s in spans]]
             at = 0
             for piece in pieces:
                 mine = [pa.array(c[at : at + piece.num_rows], t) for c, (_, _, t) in zip(found, FOUND, strict=True)]

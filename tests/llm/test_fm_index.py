@@ -91,3 +91,12 @@ def test_empty_tables(spark):
     docs, bench = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"), spark.createDataFrame(ITEMS, "item_id bigint, text string")
     assert fm.contamination(docs.where("false"), bench).collect() == []
     assert [r.n_hit for r in fm.contamination(docs, bench.where("false")).collect()] == [0]
+
+
+def test_items_with_a_null_id_hit(spark):
+    docs = spark.createDataFrame([(1, "see short item here"), (2, "one two and short item"), (3, "none")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(None, "short item"), (None, "see"), (4, "one two")], "item_id bigint, text string")
+    got = {r.doc_id: (r.n_hit, r.items) for r in fm.contamination(docs, bench).collect()}
+    assert got == {1: (3, [None]), 2: (4, ["4", None]), 3: (0, [])}
+    digest = {r.doc_id: (r.n_items, r.items_sha256, r.contaminated) for r in fm.digests(fm.contamination(docs, bench)).collect()}
+    assert digest[1] == (1, hashlib.sha256(b"").hexdigest(), True) and digest[2] == (2, hashlib.sha256(b"4").hexdigest(), True)
