@@ -88,7 +88,7 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
     quotes = quotes.select("conv_id", "turn", "passage", "level", F.length("said").alias("size"), F.xxhash64("said").alias("hash"), F.md5("said").alias("full"))
     wanted = quotes.select("hash", "full").distinct()
     sought = offers.join(wanted, ["hash", "full"], "left_semi")
-    anywhere = sought.groupBy("hash", "full").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
+    anywhere = sought.where("conv_id is not null and turn is not null").groupBy("hash", "full").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
     near = sought.groupBy("hash", "full", "conv_id").agg(F.min("turn").alias("near_turn")).withColumnRenamed("conv_id", "near_conv")
     near = near.withColumnsRenamed({"hash": "near_hash", "full": "near_full"})
     found = quotes.join(near, (F.col("hash") == F.col("near_hash")) & (F.col("full") == F.col("near_full")) & F.col("conv_id").eqNullSafe(F.col("near_conv")), "left")

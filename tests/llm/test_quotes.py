@@ -87,3 +87,10 @@ def test_against_sql(spark, tmp_path):
     assert out.columns == quotes.link_quotes(df).columns
     assert sum(x[6] > 0 for x in want) > 20 and sum(x[4] > 1 for x in want) > 5
     assert got == want
+
+
+def test_a_message_without_a_key_owns_no_text(spark):
+    said = "a text that many people say"
+    rows = [(None, 1, "user", said, "x"), (1, None, "user", said, "x"), (1, 2, "user", said, "x"), (5, 1, "user", f"> {said}\n\nyes", "x")]
+    got = {(r.conv_id, r.turn): (r.n_linked, r.reply_conv, r.reply_turn) for r in quotes.link_quotes(table(spark, rows)).collect()}
+    assert got[5, 1] == (1, 1, 2)
