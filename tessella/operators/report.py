@@ -9,10 +9,12 @@ from __future__ import annotations
 import csv
 import io
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tessella.functions.scalar import label
+from tessella.model import BARE_FIELDS
 
 ORDERS = ("agg_field,base_raster", "base_raster,agg_field")
 
@@ -39,27 +41,42 @@ def check_stems(rasters: list[str], on_duplicate: str = "error") -> list[str]:
     return list(dict.fromkeys(rasters))
 
 
+def _named(wide: DataFrame, outer: list[str], fields: list[str]) -> list[Column]:
+    """<stat>_<name> columns of a pivot: names outside, statistics inside. They are read by place, so any text is a name."""
+    out = []
+    for k, (name, f) in enumerate((x, f) for x in outer for f in fields):
+        out.append(F.col(_quoted(wide.columns[k + 1])).alias(f"{f}_{name}"))
+    return out
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def pivoted(stats: DataFrame, order: str, field: str, rasters: list[str], fields: list[str]) -> DataFrame:
     """The report of long statistics (group, raster, fields...).
 
-    "agg_field,base_raster": a row for each group, columns <stat>_<raster>, statistics outside, rasters inside.
-    "base_raster,agg_field": a row for each raster, columns <stat>_<group>, statistics outside, groups inside.
+    "agg_field,base_raster": a row for each group, columns <stat>_<raster>, rasters outside, statistics inside.
+    "base_raster,agg_field": a row for each raster, columns <stat>_<group>, groups outside, statistics inside.
+
+    Without any group the first has no rows and BARE_FIELDS of each raster as columns, the second its first column alone.
     """
-    values = [F.first(F.col(f"`{f}`")).alias(f) for f in fields]
-    if normal_order(order) == ORDERS[0]:
+    spark, by_group = stats.sparkSession, normal_order(order) == ORDERS[0]
+    known = group_order(stats)
+    if not known:
+        names = [field, *(f"{f}_{r}" for r in rasters for f in BARE_FIELDS)] if by_group else ["base_raster"]
+        return spark.createDataFrame([] if by_group else [(r,) for r in rasters], StructType([StructField(n, StringType()) for n in names]))
+    values = [F.first(F.col(_quoted(f))).alias(f) for f in fields]
+    if by_group:
         wide = stats.groupBy("group").pivot("raster", rasters).agg(*values)
-        names = [(f"{r}_{f}" if len(fields) > 1 else r, f"{f}_{r}") for f in fields for r in rasters]
-        out = wide.select("group", *[F.col(f"`{a}`").alias(b) for a, b in names])
+        out = wide.select("group", *_named(wide, rasters, fields))
         return out.orderBy(F.col("group").cast("string").asc_nulls_last()).withColumn("group", label(F.col("group"))).withColumnRenamed("group", field)
-    known = group_order(stats)
     labels = [x for _, x in known]
     if len(set(labels)) < len(labels):
         raise ValueError("a null group and an empty one have the same label and would share columns")
     wide = stats.withColumn("label", label(F.col("group"))).groupBy("raster").pivot("label", labels).agg(*values)
-    names = [(f"{x}_{f}" if len(fields) > 1 else x, f"{f}_{x}") for f in fields for x in labels]
     place = F.array_position(F.array(*[F.lit(r) for r in rasters]), F.col("raster"))
-    out = wide.withColumn("_place", place).orderBy("_place")
-    return out.select(F.col("raster").alias("base_raster"), *[F.col(f"`{a}`").alias(b) for a, b in names])
+    return wide.orderBy(place).select(F.col("raster").alias("base_raster"), *_named(wide, labels, fields))
 
 
 def csv_text(report: DataFrame) -> str:

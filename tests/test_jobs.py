@@ -3,6 +3,7 @@ from datetime import datetime
 import numpy as np
 import pytest
 
+from tessella.operators import report
 from tessella.plans import config, jobs
 from tests import writers
 from tests.test_operators import brute_cells
@@ -64,7 +65,7 @@ def test_run(spark, project):
     lines = [x.split(",") for x in out["by_name"].read_bytes().decode().split("\r\n")[:-1]]
     stems = ["first", "second", "coarse"]
     fields = ["min", "max", "count", "nodata_count", "valid_count", "sum", "stdev", "p5", "p95"]
-    assert lines[0] == ["name", *[f"{f}_{s}" for f in fields for s in stems]]
+    assert lines[0] == ["name", *[f"{f}_{s}" for s in stems for f in fields]]
     assert [x[0] for x in lines[1:]] == ["far", "north", "south", ""]
     got = {x[0]: dict(zip(lines[0][1:], x[1:], strict=True)) for x in lines[1:]}
     for stem, grid, values, nodata in (("first", GRID, VALUES, 7), ("second", GRID, VALUES.astype("f4") / 3, None), ("coarse", Grid(0, 2.0, 20.0, -2.0, 15, 10), VALUES[:10, :15], None)):
@@ -78,7 +79,7 @@ def test_run(spark, project):
             else:
                 assert r[f"min_{stem}"] == r[f"p5_{stem}"] == ""
     lines = [x.split(",") for x in out["by_code"].read_bytes().decode().split("\r\n")[:-1]]
-    assert lines[0][:6] == ["base_raster", "min_1", "min_10", "min_2", "min_9", "min_"] and [x[0] for x in lines[1:]] == stems
+    assert lines[0] == ["base_raster", *[f"{f}_{g}" for g in ("1", "10", "2", "9", "") for f in fields[:7]]] and [x[0] for x in lines[1:]] == stems
     table = jobs.run_bundle(spark, [cfg.jobs[1]], jobs.JobOptions(columns="requested", simplify=0.0))["by_code"]
     assert table.columns == ["base_raster", "median_1", "median_10", "median_2", "median_9", "median_"]
     want, _ = expected(GRID, VALUES, lambda s: s[2], 7)
@@ -165,3 +166,17 @@ def test_equal_stems(spark, project):
     with pytest.raises(ValueError, match="same name"):
         jobs.run_bundle(spark, [job])
     assert jobs.run_bundle(spark, [job], jobs.JobOptions(on_duplicate_stem="last"))["by_name"].columns[1] == "min_first"
+
+
+def test_reports_to_the_byte(spark):
+    rows = [("a`b", "x", 1, 2.5), ("a`b", "y.1", 3, None), (None, "x", 0, None), (None, "y.1", 7, 1.0), ("10", "x", 5, 5.5), ("10", "y.1", 6, 6.5)]
+    table = spark.createDataFrame(rows, "group string, raster string, count int, sum double")
+    text = report.csv_text(report.pivoted(table, "agg_field,base_raster", "name", ["x", "y.1"], ["count", "sum"]))
+    assert text == "name,count_x,sum_x,count_y.1,sum_y.1\r\n10,5,5.5,6,6.5\r\na`b,1,2.5,3,\r\n,0,,7,1.0\r\n"
+    text = report.csv_text(report.pivoted(table, "base_raster,agg_field", "name", ["x", "y.1"], ["count", "sum"]))
+    assert text == "base_raster,count_10,sum_10,count_a`b,sum_a`b,count_,sum_\r\nx,5,5.5,1,2.5,0,\r\ny.1,6,6.5,3,,7,1.0\r\n"
+    one = report.pivoted(table, "base_raster,agg_field", "name", ["y.1", "x"], ["sum"])
+    assert report.csv_text(one) == "base_raster,sum_10,sum_a`b,sum_\r\ny.1,6.5,,1.0\r\nx,5.5,2.5,\r\n"
+    none = table.where("false")
+    assert report.csv_text(report.pivoted(none, "agg_field,base_raster", "name", ["x"], ["count", "sum"])) == "name,min_x,max_x,count_x,nodata_count_x,sum_x\r\n"
+    assert report.csv_text(report.pivoted(none, "base_raster,agg_field", "name", ["x", "z"], ["count"])) == "base_raster\r\nx\r\nz\r\n"
