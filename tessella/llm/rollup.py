@@ -1,10 +1,18 @@
 """Token totals by source, language and tokenizer version, kept by deltas.
 
 A batch is a feed of signed changes: insert (+tokens, +1 document), delete (-tokens, -1 document) and revise
-(tokens - old_tokens, no document). Its sums by group are written to the shared folder, then a marker named after the
-batch is created, which only one writer can do; a marked batch is committed. Committing a batch again does nothing, a run
-that dies before the marker leaves sums that nobody reads. Totals are sums, so batches commute. `compact` folds committed
-batches into a snapshot that lists them, so the cost of a read does not grow with history.
+(tokens - old_tokens, no document). Its sums by group are written to a hidden folder, which is then renamed to a name made
+of the batch: that one step is the commit. A run that dies before it leaves a folder that nobody reads, and the batch can be
+sent again; of two that commit one batch at once, the second finds the name taken. Committing a batch again does nothing.
+Totals are sums, so batches commute.
+
+    live/<batch>        sums of a committed batch
+    snapshots/<number>  sums of all batches compacted so far, with the list of live folders that they cover
+    done/<batch>        an empty file for each compacted batch: looked up when a batch is sent, never listed
+
+`compact` publishes the next snapshot by such a rename, marks what it covers as done, and removes what the snapshot before
+it covered (reads that began before a compaction still find their files). So a read lists the folders of the last batches
+only, whatever the length of history. The store must rename folders in one step, as HDFS and file systems do.
 
 Sums are formed before the shuffle, so a source with a third of all rows is one row a task.
 
@@ -50,24 +58,26 @@ class TokenRollup:
             return []
         return sorted(n for s in self._fs.listStatus(self._path(folder)) if not (n := s.getPath().getName()).startswith((".", "_")))
 
-    def _create(self, name: str, content: str) -> bool:
-        """Create a file that does not exist yet; False if it does."""
-        try:
-            out = self._fs.create(self._path(name), False)
-        except Exception as e:
-            if self._fs.exists(self._path(name)):
-                return False
-            raise e
-        out.write(bytearray(content.encode()))
-        out.close()
-        return True
+    def _publish(self, draft: str, name: str) -> bool:
+        """Give a finished folder its name; False, and the folder is gone, if another has that name. A folder that is
+        renamed onto another lands inside it, where its hidden name keeps it from being read."""
+        if not self._fs.exists(self._path(name)):
+            self._fs.mkdirs(self._path(name).getParent())
+            if not self._fs.rename(self._path(draft), self._path(name)) and not self._fs.exists(self._path(name)):
+                raise OSError(f"{self.root}/{draft} can't be renamed to {name}")
+        nested = f"{name}/{draft.rpartition('/')[2]}"
+        lost = [x for x in (draft, nested) if self._fs.exists(self._path(x))]
+        for x in lost:
+            self._fs.delete(self._path(x), True)
+        return not lost
 
     @staticmethod
     def _marker(batch_id: str) -> str:
         return hashlib.sha256(batch_id.encode()).hexdigest()
 
     def committed(self, batch_id: str) -> bool:
-        return self._fs.exists(self._path(f"commits/{self._marker(batch_id)}"))
+        name = self._marker(batch_id)  # done is written before live goes
+        return self._fs.exists(self._path(f"live/{name}")) or self._fs.exists(self._path(f"done/{name}"))
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Apply a feed (source, lang, tokenizer_version, op, tokens, old_tokens) once; False if it was applied before."""
@@ -75,12 +85,19 @@ class TokenRollup:
             return False
         documents, tokens = signed(F.col("op"), F.col("tokens"), F.col("old_tokens"))
         sums = changes.select(*[F.col(k).cast("string").alias(k) for k in KEYS], documents.alias("documents"), tokens.alias("tokens")).groupBy(*KEYS).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
-        name = uuid.uuid4().hex
-        sums.coalesce(1).write.parquet(f"{self.root}/sums/{name}")
-        if self._create(f"commits/{self._marker(batch_id)}", name):
-            return True
-        self._fs.delete(self._path(f"sums/{name}"), True)
-        return False
+        draft, name = f"_draft-{uuid.uuid4().hex}", self._marker(batch_id)
+        sums.coalesce(1).write.parquet(f"{self.root}/{draft}")
+        if not self._publish(draft, f"live/{name}"):
+            return False
+        if self._fs.exists(self._path(f"done/{name}")):  # another run committed the batch and compacted it meanwhile
+            self._fs.delete(self._path(f"live/{name}"), True)
+            return False
+        return True
+
+    def _write(self, name: str, content: str) -> None:
+        out = self._fs.create(self._path(name), True)
+        out.write(bytearray(content.encode()))
+        out.close()
 
     def _read(self, name: str) -> str:
         stream = self._fs.open(self._path(name))
@@ -90,28 +107,43 @@ class TokenRollup:
             stream.close()
 
     def _current(self) -> tuple[list[str], list[str]]:
-        """(folders whose sums make the totals, markers they cover)."""
-        snapshots = self._names("snapshots")
-        covered = self._read(f"snapshots/{snapshots[-1]}").split() if snapshots else []
-        folders, covered = covered[:1], covered[1:]
-        new = [m for m in self._names("commits") if m not in set(covered)]
-        return folders + [self._read(f"commits/{m}") for m in new], covered + new
+        """(the latest snapshot, if any; batches that it does not cover)."""
+        snapshots = self._names("snapshots")[-1:]
+        covered = {x for n in snapshots for x in self._read(f"snapshots/{n}/_covers").split()}
+        return snapshots, [b for b in self._names("live") if b not in covered and not self._fs.exists(self._path(f"done/{b}"))]
 
-    def totals(self) -> DataFrame:
-        folders, _ = self._current()
+    def _sums(self, folders: list[str]) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], SCHEMA)
-        rows = self.spark.read.schema(SCHEMA).parquet(*[f"{self.root}/sums/{f}" for f in folders])
+        rows = self.spark.read.schema(SCHEMA).parquet(*[f"{self.root}/{f}" for f in folders])
         return rows.groupBy(*KEYS).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
 
-    def compact(self) -> None:
-        """Fold what is committed into one snapshot. Of two that run at once, one writes the next number."""
-        _, covered = self._current()
-        if not covered:
-            return
-        name, number = uuid.uuid4().hex, len(self._names("snapshots"))
-        self.totals().coalesce(1).write.parquet(f"{self.root}/sums/{name}")
-        self._create(f"snapshots/{number:012d}", "\n".join([name, *covered]))
+    def totals(self) -> DataFrame:
+        snapshots, new = self._current()
+        return self._sums([f"snapshots/{n}" for n in snapshots] + [f"live/{b}" for b in new])
+
+    def _mark_done(self, batches: list[str]) -> None:
+        for b in batches:
+            self._write(f"done/{b}", "")
+
+    def compact(self) -> bool:
+        """Fold what is committed into one snapshot; False if there is nothing new or another run was first."""
+        snapshots, new = self._current()
+        before = self._read(f"snapshots/{snapshots[0]}/_covers").split() if snapshots else []
+        self._mark_done(before)  # in case the run that published it died
+        for b in before:
+            self._fs.delete(self._path(f"live/{b}"), True)
+        for old in self._names("snapshots")[:-1]:
+            self._fs.delete(self._path(f"snapshots/{old}"), True)
+        if not new:
+            return False
+        draft, number = f"_draft-{uuid.uuid4().hex}", int(snapshots[0]) + 1 if snapshots else 0
+        self._sums([f"snapshots/{n}" for n in snapshots] + [f"live/{b}" for b in new]).coalesce(1).write.parquet(f"{self.root}/{draft}")
+        self._write(f"{draft}/_covers", "\n".join(new))
+        if not self._publish(draft, f"snapshots/{number:012d}"):
+            return False
+        self._mark_done(new)
+        return True
 
 
 def token_counts(docs: DataFrame, ranks_path: str, pattern: str, version: str) -> DataFrame:

@@ -47,6 +47,57 @@ def test_one_of_two_writers_wins(spark, monkeypatch):
     assert totals(a) == {("s", "en", "v"): (1, 5)}
 
 
+def one(spark, n):
+    return spark.createDataFrame([("s", "en", "v", "insert", n, None, "")], FEED)
+
+
+def test_a_writer_that_dies_before_its_commit_leaves_nothing(spark, monkeypatch):
+    store = rollup.TokenRollup(spark, storage.new_path(spark, "t"))
+    publish = store._publish
+
+    def dies(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(store, "_publish", dies)
+    with pytest.raises(KeyboardInterrupt):
+        store.commit("x", one(spark, 5))
+    assert not store.committed("x") and totals(store) == {}
+    monkeypatch.setattr(store, "_publish", publish)
+    assert store.commit("x", one(spark, 5)) and not store.commit("x", one(spark, 5)) and totals(store) == {("s", "en", "v"): (1, 5)}
+    # a compaction that dies after it published, before anything is marked
+    mark = store._mark_done
+    monkeypatch.setattr(store, "_mark_done", lambda batches: dies() if batches else None)
+    with pytest.raises(KeyboardInterrupt):
+        store.compact()
+    monkeypatch.setattr(store, "_mark_done", mark)
+    assert totals(store) == {("s", "en", "v"): (1, 5)} and not store.commit("x", one(spark, 5))
+    assert not store.compact() and not store._names("live")
+    assert totals(store) == {("s", "en", "v"): (1, 5)} and not store.commit("x", one(spark, 5))
+
+
+def test_a_folder_that_loses_the_race_is_not_read(spark):
+    store = rollup.TokenRollup(spark, storage.new_path(spark, "t"))
+    assert store.commit("x", one(spark, 5))
+    name = "live/" + store._marker("x")
+    one(spark, 7).selectExpr("source", "lang", "tokenizer_version", "1L documents", "tokens").write.parquet(f"{store.root}/_draft-late")
+    store._fs.rename(store._path("_draft-late"), store._path(name))  # between the other's look and its own renaming
+    assert totals(store) == {("s", "en", "v"): (1, 5)}
+    assert not store._publish("_draft-late", name) and not store._fs.exists(store._path(f"{name}/_draft-late"))
+    assert totals(store) == {("s", "en", "v"): (1, 5)}
+
+
+def test_reads_list_the_last_batches_alone(spark):
+    store = rollup.TokenRollup(spark, storage.new_path(spark, "t"))
+    for k in range(6):
+        store.commit(str(k), one(spark, k))
+        early = store.totals()
+        assert store.compact()
+        assert {r.tokens for r in early.collect()} == {sum(range(k + 1))}  # a read that began before
+    assert len(store._names("live")) == 1 and not store.compact()
+    assert len(store._names("live")) == 0 and len(store._names("snapshots")) == 1 and len(store._names("done")) == 6
+    assert totals(store) == {("s", "en", "v"): (6, 15)} and not store.commit("2", one(spark, 9))
+
+
 def test_empty_and_unknown(spark):
     store = rollup.TokenRollup(spark, storage.new_path(spark, "t"))
     assert store.commit("none", spark.createDataFrame([], FEED)) and totals(store) == {}
