@@ -46,20 +46,18 @@ def normal(text: Column) -> Column:
 def passages(messages: DataFrame) -> DataFrame:
     """conv_id, turn, passage (its number in the message), level, text, lines: neighbouring lines of one quote level.
 
-    Lines that are empty belong to the passage before them.
+    Lines that are empty belong to the passage before them. Each line is a row for a while, so the work grows with the
+    lines of a message and not with their square; rows of a message stay where it is.
     """
-    lines = F.transform(F.split(F.coalesce("text", F.lit("")), r"\r\n|\n|\r", -1), lambda x: F.struct(quote_level(x).alias("level"), unmarked(x).alias("line")))
-    start = F.expr("cast(array() as array<struct<level:int,lines:array<string>>>)")
-
-    def add(done: Column, x: Column) -> Column:
-        last = F.element_at(done, -1)
-        joins = (F.size(done) > 0) & ((last["level"] == x["level"]) | ((F.trim(x["line"]) == "") & (x["level"] == 0)))
-        longer = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(last["level"].alias("level"), F.concat(last["lines"], F.array(x["line"])).alias("lines"))))
-        return F.when(joins, longer).otherwise(F.concat(done, F.array(F.struct(x["level"].alias("level"), F.array(x["line"]).alias("lines")))))
-
-    grouped = F.aggregate(lines, start, add)
-    rows = messages.select("conv_id", "turn", F.posexplode(grouped).alias("passage", "p"))
-    return rows.select("conv_id", "turn", "passage", F.col("p.level").alias("level"), F.array_join("p.lines", "\n").alias("text"), F.col("p.lines").alias("lines"))
+    here = Window.partitionBy("conv_id", "turn").orderBy("k")
+    lines = messages.select("conv_id", "turn", F.posexplode(F.split(F.coalesce("text", F.lit("")), r"\r\n|\n|\r", -1)).alias("k", "raw"))
+    lines = lines.select("conv_id", "turn", "k", quote_level(F.col("raw")).alias("level"), unmarked(F.col("raw")).alias("line"))
+    own = F.when((F.col("k") == 0) | (F.col("level") > 0) | (F.trim("line") != ""), F.col("level"))
+    lines = lines.withColumn("level", F.last(own, ignorenulls=True).over(here.rowsBetween(Window.unboundedPreceding, 0)))
+    begins = F.coalesce((F.col("level") != F.lag("level").over(here)).cast("int"), F.lit(0))
+    lines = lines.withColumn("begins", begins).withColumn("passage", F.sum("begins").over(here.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = lines.groupBy("conv_id", "turn", "passage").agg(F.min("level").alias("level"), F.array_sort(F.collect_list(F.struct("k", "line"))).alias("l"))
+    return rows.select("conv_id", "turn", "passage", "level", F.array_join("l.line", "\n").alias("text"), F.col("l.line").alias("lines"))
 
 
 def _messages(conversations: DataFrame) -> DataFrame:
@@ -82,15 +80,16 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
     # what messages offer: whole texts, paragraphs, lines
     paragraphs, each = F.split("text", r"\n[ \t]*\n"), F.split("text", r"\n")
     offers = own.select("conv_id", "turn", F.explode(F.array_distinct(F.transform(F.concat(F.array("text"), paragraphs, each), normal))).alias("said")).where("said <> ''")
-    offers = offers.select("conv_id", "turn", F.xxhash64("said").alias("hash"), F.md5("said").alias("full"))
+    digest = (F.xxhash64("said").alias("hash"), F.unhex(F.md5("said")).alias("full"))
+    offers = offers.select("conv_id", "turn", *digest)
 
     quotes = parts.where("level > 0").select("conv_id", "turn", "passage", "level", F.explode(F.array_distinct(F.transform(F.concat(F.array("text"), "lines"), normal))).alias("said")).where("said <> ''")
-    quotes = quotes.select("conv_id", "turn", "passage", "level", F.length("said").alias("size"), F.xxhash64("said").alias("hash"), F.md5("said").alias("full"))
-    wanted = quotes.select("hash", "full").distinct()
-    sought = offers.join(wanted, ["hash", "full"], "left_semi")
-    anywhere = sought.where("conv_id is not null and turn is not null").groupBy("hash", "full").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
-    near = sought.groupBy("hash", "full", "conv_id").agg(F.min("turn").alias("near_turn")).withColumnRenamed("conv_id", "near_conv")
-    near = near.withColumnsRenamed({"hash": "near_hash", "full": "near_full"})
+    quotes = quotes.select("conv_id", "turn", "passage", "level", F.length("said").alias("size"), *digest)
+    # owners: the earliest turn in each conversation, then the earliest conversation; summed up before anything is joined
+    near = offers.groupBy("hash", "full", "conv_id").agg(F.min("turn").alias("near_turn"))
+    valid = F.col("conv_id").isNotNull() & F.col("near_turn").isNotNull()
+    anywhere = near.where(valid).groupBy("hash", "full").agg(F.min(F.struct("conv_id", F.col("near_turn").alias("turn"))).alias("first"))
+    near = near.withColumnsRenamed({"hash": "near_hash", "full": "near_full", "conv_id": "near_conv"})
     found = quotes.join(near, (F.col("hash") == F.col("near_hash")) & (F.col("full") == F.col("near_full")) & F.col("conv_id").eqNullSafe(F.col("near_conv")), "left")
     found = found.join(anywhere, ["hash", "full"], "left")
     inside = F.col("near_turn").isNotNull() & (F.col("near_turn") < F.col("turn"))

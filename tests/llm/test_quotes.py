@@ -94,3 +94,18 @@ def test_a_message_without_a_key_owns_no_text(spark):
     rows = [(None, 1, "user", said, "x"), (1, None, "user", said, "x"), (1, 2, "user", said, "x"), (5, 1, "user", f"> {said}\n\nyes", "x")]
     got = {(r.conv_id, r.turn): (r.n_linked, r.reply_conv, r.reply_turn) for r in quotes.link_quotes(table(spark, rows)).collect()}
     assert got[5, 1] == (1, 1, 2)
+
+
+def test_the_work_grows_with_the_lines_of_a_message(spark):
+    import time
+
+    def seconds(n):
+        text = "\n".join(f"> line {k} of {n}" if k % 3 else f"own {k}" for k in range(n))
+        df = table(spark, [(1, 0, "u", "line 1 of 60000\nsaid first", ""), (1, 1, "u", text, "")])
+        began = time.time()
+        got = {r.turn: r for r in quotes.link_quotes(df).collect()}
+        assert got[1].n_quotes == n // 3 and got[1].n_linked == (n == 60000) and len(got[1].text.split("\n")) == n // 3
+        return time.time() - began
+
+    seconds(300)
+    assert seconds(60000) < 30
