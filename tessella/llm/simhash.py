@@ -50,8 +50,11 @@ def shingle_hashes(text: str | None, width: int) -> np.ndarray:
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
+    return fingerprint_of(shingle_hashes(text, width))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
     """Bit k is 1 if it is set in over half of the hashes. Long texts are counted in blocks."""
-    hashes = shingle_hashes(text, width)
     ones = np.zeros(64, np.int64)
     for k in range(0, len(hashes), 4096):
         block = hashes[k : k + 4096].astype(">u8").view(np.uint8).reshape(-1, 8)
@@ -67,7 +70,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
             fps = np.array([fingerprint(t.as_py(), width) for t in b.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], ["doc_id", "fp"])
 
-    return storage.in_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text")).mapInArrow(run, "doc_id bigint, fp bigint")
+    return storage.in_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text")).mapInArrow(storage.trimmed(run), "doc_id bigint, fp bigint")
 
 
 def _flips(bits: range) -> Column:

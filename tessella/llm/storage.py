@@ -6,6 +6,7 @@ setting is missing (a local session, as in tests) is a folder on this machine ta
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -15,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder's URI; a session that names none and runs on one machine gets a temporary one."""
+    """The shared folder's URI, with its store (a path without one is on the cluster's default file system, not on a worker's
+    own disk); a session that names none and runs on one machine gets a temporary one."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if spark.sparkContext.master.startswith(("local-cluster", "spark:", "yarn", "k8s:", "mesos:")):
@@ -24,7 +26,8 @@ def shared_root(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
 
 
 #: Of what a Python worker gets at once; the usual 64 MB, several times over, is much of a small executor's memory.
@@ -40,16 +43,53 @@ def in_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def trimmed(run):
+    """run, a function over batches; at its end the worker gives back what freed arrays and texts held. Workers are
+    reused: else each keeps the largest size of every operator that ran in it."""
+
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+
+            import pyarrow as pa
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # glibc alone has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return inner
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tessella/{name}-{uuid.uuid4().hex}"
 
 
+_made: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def scratch():
+    """Deletes, at its end, the tables that `written` made meanwhile; those taken out of the list it gives stay."""
+    _made.append(made := [])
+    try:
+        yield made
+    finally:
+        _made.remove(made)
+        drop(*made)
+
+
 def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """df, written once as a Parquet table in the shared folder and read again: cuts lineage, survives lost executors."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     df.write.options(**({"compression": "zstd"} | options)).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_path = path
+    for made in _made[-1:]:
+        made.append(out)
     return out
 
 
