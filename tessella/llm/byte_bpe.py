@@ -3,10 +3,15 @@
 Why a transducer can do it: the merges of a text give tokens t1..tn such that every neighbouring pair is stable (merging
 the two tokens' bytes alone gives the same two tokens), and no other split of the text has that property. So each prefix
 of a word has exactly one tokenisation. Reading bytes from the left, the machine keeps for every place where a token may
-have begun the walk in the trie of token bytes and the tokens before it. A walk that ends in a token that is stable after
-its predecessor closes a prefix. Tokens that all open walks agree on are emitted at once: no token is longer than the
-longest entry, so lookahead is bounded. Sets of walks are numbered when first met and their moves remembered. Once
-MAX_STATES sets are numbered, words that leave the numbered part run on the sets themselves, so memory is bounded.
+have begun the walk in the trie of token bytes and the last token before it; walks that no token goes on from are
+dropped. A walk that ends in a token that is stable after its predecessor closes the prefix, and the move puts out that
+token, the last of the prefix. Sets of walks are numbered when first met and their moves remembered.
+
+Lookahead: what all open walks have behind them is settled. It is read back from the last tokens at a word's end, and in
+longer words after every LOOKAHEAD bytes, so a word of any length is encoded with bounded memory.
+
+Memory: at MAX_STATES numbered sets the table is emptied and filled anew; every word runs on numbered sets alone. (At 60,000
+sets a table takes about 50 MB of a worker.)
 
 Cases: null text counts as empty and has no tokens; any valid text round-trips; repeated rows stay; columns other than
 doc_id and text pass through `encode_documents` if asked for.
@@ -26,7 +31,8 @@ from pyspark.sql import DataFrame
 
 from tessella.llm import splitting, storage
 
-MAX_STATES = 40_000
+MAX_STATES = 60_000
+LOOKAHEAD = 256
 MAX_PAIRS = 500_000
 MAX_WORDS = 250_000
 BATCH_CHARS = 2 << 20
@@ -37,6 +43,18 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
+class State(dict):
+    """A numbered set of walks: byte -> the state after it, made when first asked for."""
+
+    __slots__ = ("walks", "last", "machine")
+
+    def __init__(self, walks: tuple, last: int, machine: MergeTransducer):
+        self.walks, self.last, self.machine = walks, last, machine
+
+    def __missing__(self, byte: int) -> State:
+        return self.machine.move(self, byte)
+
+
 class MergeTransducer:
     """Encodes one pre-split word at a time; a word that is itself an entry is that token."""
 
@@ -44,27 +62,36 @@ class MergeTransducer:
         self.ranks = ranks
         self.token_bytes = {r: t for t, r in ranks.items()}
         self.size = {r: len(t) for t, r in ranks.items()}
-        self.longest = max(self.size.values(), default=1)
-        self.children: dict[int, int] = {}  # node << 8 | byte -> node; the root is 0
+        self.children: list[dict[int, int]] = [{}]  # of each node of the trie, byte -> node; the root is 0
         self.token_at: list[int] = [-1]
+        self.depth: list[int] = [0]
+        leaf: dict[int, int] = {}
         for token, rank in ranks.items():
             node = 0
             for b in token:
-                node = self.children.setdefault(node << 8 | b, len(self.token_at))
-                if node == len(self.token_at):
+                there = self.children[node].get(b)
+                if there is None:
+                    there = len(self.token_at)
+                    if self.children[node] is leaf:
+                        self.children[node] = {}
+                    self.children[node][b] = there
+                    self.children.append(leaf)
                     self.token_at.append(-1)
+                    self.depth.append(self.depth[node] + 1)
+                node = there
             self.token_at[node] = rank
-        self.begins: dict[bytes, tuple[list[int], int | None]] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
+        self.borders: tuple[dict, dict] = {}, {}
         self.stable: dict[int, bool] = {}
+        self.states: dict[tuple, State] = {}
         self.reset()
 
     def reset(self) -> None:
-        start = (-1, ((0, ()),))
-        self.number: dict[tuple, int] = {start: 0}
-        self.state: list[tuple] = [start]
-        self.final: list[tuple[int, ...] | None] = [()]
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
+        for state in self.states.values():
+            state.clear()  # states may lead to each other in circles
+        walks = ((0, -1),)
+        self.start = State(walks, -1, self)
+        self.states = {walks: self.start}
 
     # -- which tokens can follow each other
 
@@ -94,133 +121,99 @@ class MergeTransducer:
             known = self.stable[key] = self._follows(a, b)
         return known
 
+    def _border(self, token: int, side: int) -> tuple[list[int], list[bytes]]:
+        """The tokens that touch a token's left (0) or right (1) border as it is merged, the shortest first, and their bytes."""
+        if (found := self.borders[side].get(token)) is None:
+            chain = [token]
+            while self.size[chain[-1]] > 1:
+                chain.append(self.parts_of(chain[-1])[side])
+            chain.reverse()
+            found = self.borders[side][token] = chain, [self.token_bytes[t] for t in chain]
+        return found
+
     def _follows(self, a: int, b: int) -> bool:
         if self.parts_of(a) is None or self.parts_of(b) is None:
             return False
-        left = [a]  # the tokens that touch the border as merges are undone, and the rank at which each was made
-        while len(self.token_bytes[left[-1]]) > 1:
-            left.append(self.parts_of(left[-1])[1])
-        right = [b]
-        while len(self.token_bytes[right[-1]]) > 1:
-            right.append(self.parts_of(right[-1])[0])
         # Forward in time: both borders grow by the merge of the lower rank. While l and r touch, their own merge wins if
         # its rank is below that of the next merge on either side; at equal ranks the merge further left comes first.
-        never = 1 << 60
-        i, j = len(left) - 1, len(right) - 1
+        (left, left_bytes), (right, right_bytes) = self._border(a, 1), self._border(b, 0)
+        never, rank, i, j = 1 << 60, self.ranks.get, 0, 0
         while True:
-            across = self.ranks.get(self.token_bytes[left[i]] + self.token_bytes[right[j]], never)
-            grow_left = left[i - 1] if i else never
-            grow_right = right[j - 1] if j else never
+            across = rank(left_bytes[i] + right_bytes[j], never)
+            grow_left = left[i + 1] if i + 1 < len(left) else never
+            grow_right = right[j + 1] if j + 1 < len(right) else never
             if across < grow_left and across <= grow_right and across != never:
                 return False
-            if i == 0 and j == 0:
-                return True
             if grow_left <= grow_right:
-                i -= 1
+                if grow_left == never:
+                    return True
+                i += 1
             else:
-                j -= 1
+                j += 1
 
     # -- the machine
 
-    def _make_move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        before, walks = self.state[state]
-        going, closed = [], None
-        for node, tail in walks:
-            there = self.children.get(node << 8 | byte)
+    def move(self, state: State, byte: int) -> State:
+        """The state after one more byte, numbered if it is new; a full table is emptied first."""
+        children, token_at, known = self.children, self.token_at, self.stable.get
+        going, last = [], -1
+        for walk in state.walks:
+            node, before = walk
+            there = children[node].get(byte)
             if there is None:
                 continue
-            going.append((there, tail))
-            token = self.token_at[there]
-            if token >= 0 and closed is None:
-                last = tail[-1] if tail else before
-                if self.parts_of(token) is not None if last < 0 else self.follows(last, token):
-                    closed = (*tail, token)
-        if closed is not None:
-            going.append((0, closed))
-        shared = 0
-        least = min(going, key=lambda w: len(w[1]))[1] if going else ()
-        while shared < len(least) and all(w[1][shared] == least[shared] for w in going):
-            shared += 1
-        out = least[:shared]
-        target = (out[-1] if out else before, tuple((node, tail[shared:]) for node, tail in going))
-        if target not in self.number:
-            self.number[target] = len(self.state)
-            self.state.append(target)
-            node, tail = target[1][0] if going else (0, ())
-            whole = self.token_at[node] if target[0] < 0 and not tail and node else -1
-            self.final.append((whole,) if whole >= 0 else closed[shared:] if closed is not None else None)
-        move = self.moves[state << 8 | byte] = (self.number[target], out)
-        return move
-
-    def encode(self, word: bytes) -> list[int]:
-        moves, state, out = self.moves, 0, []
-        for b in word:
-            move = moves.get(state << 8 | b)
-            if move is None:
-                if len(self.state) >= MAX_STATES:
-                    return self._simulate(word, out)
-                move = self._make_move(state, b)
-            state = move[0]
-            if move[1]:
-                out += move[1]
-        out += self.final[state]
+            if children[there]:
+                going.append((there, before))
+            token = token_at[there]
+            if token >= 0 and last < 0:
+                good = self.parts_of(token) is not None if before < 0 else known(before << 32 | token)
+                if self.follows(before, token) if good is None else good:
+                    last = token
+        if last >= 0:
+            going.append((0, last))
+        walks = tuple(going)
+        after = self.states.get(walks)
+        if after is None:
+            if len(self.states) >= MAX_STATES:
+                self.reset()
+                state = {}  # the state before is no longer numbered
+            after = self.states[walks] = State(walks, last, self)
+        state[byte] = after
+        return after
+
+    def _settled(self, state: State, lasts: list[int]) -> int:
+        """How much of what was read is split alike whatever follows: where the tokens before all open walks meet."""
+        ends = {len(lasts) - self.depth[node] for node, _ in state.walks}
+        while len(ends) > 1:
+            ends.add((far := max(ends)) - self.size[lasts[far - 1]])
+            ends.remove(far)
+        return ends.pop() if ends else 0
+
+    def _read_back(self, lasts: list[int], end: int) -> list[int]:
+        out = []
+        while end > 0:
+            token = lasts[end - 1]
+            if token < 0:
+                raise ValueError("the vocabulary has no tokens for these bytes")
+            out.append(token)
+            end -= self.size[token]
+        out.reverse()
         return out
 
-    def _beginnings(self, four: bytes) -> tuple[list[int], int | None]:
-        """The entries that begin four bytes, the shortest first, and the trie node after all four."""
-        node, found = 0, []
-        for b in four:
-            node = self.children.get(node << 8 | b)
-            if node is None:
-                break
-            if self.token_at[node] >= 0:
-                found.append(self.token_at[node])
-        if len(self.begins) > MAX_PAIRS:
-            self.begins.clear()
-        self.begins[four] = found, node if len(four) == 4 else None
-        return self.begins[four]
-
-    def _simulate(self, word: bytes, out: list[int]) -> list[int]:
-        """The same machine from what it has put out, one walk at a time: the longest token that may follow first, back
-        to shorter ones at a dead end. A prefix has one tokenisation, so a place that led nowhere once never needs
-        another look, and what has been put out stays."""
+    def encode(self, word: bytes) -> list[int]:
         if (whole := self.ranks.get(word)) is not None:
             return [whole]
-        child, token_at, known, size, begins = self.children.get, self.token_at, self.stable.get, self.size, self.begins.get
-        n, at, before, dead = len(word), sum(map(size.__getitem__, out)), out[-1] if out else -1, set()
-        rest: list[list[int]] = []
-        open_: list[int] | None = None
-        while at < n:
-            if open_ is None:
-                four = word[at : at + 4]
-                found, node = begins(four) or self._beginnings(four)
-                open_ = found.copy()
-                if node is not None:
-                    for b in word[at + 4 : at + self.longest]:
-                        node = child(node << 8 | b)
-                        if node is None:
-                            break
-                        if token_at[node] >= 0:
-                            open_.append(token_at[node])
-            while open_:
-                token = open_.pop()
-                to = at + size[token]
-                if dead and to in dead:
-                    continue
-                if before < 0:
-                    good = self.parts_of(token) is not None
-                elif (good := known(before << 32 | token)) is None:
-                    good = self.follows(before, token)
-                if good:
-                    out.append(token)
-                    rest.append(open_)
-                    at, before, open_ = to, token, None
-                    break
-            else:
-                dead.add(at)
-                at -= size[out.pop()]
-                before, open_ = out[-1] if out else -1, rest.pop()
-        return out
+        state, out = self.start, []
+        lasts: list[int] = []
+        add = lasts.append
+        for k in range(0, len(word), LOOKAHEAD):
+            for b in word[k : k + LOOKAHEAD]:
+                state = state[b]
+                add(state.last)
+            if k + LOOKAHEAD < len(word) and (n := self._settled(state, lasts)) > 0:
+                out += self._read_back(lasts, n)
+                del lasts[:n]
+        return out + self._read_back(lasts, len(lasts))
 
 
 def _whole(data: bytes) -> bool:
@@ -344,7 +337,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
             rows = [(i, coder.encode(t)) for i, t in _texts(b)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return storage.in_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text")).mapInArrow(run, "doc_id bigint, ids array<int>")
+    return storage.in_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text")).mapInArrow(storage.trimmed(run), "doc_id bigint, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -374,4 +367,4 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 [], schema=pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
             )
 
-    return storage.in_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text")).mapInArrow(run, DIGEST_SCHEMA)
+    return storage.in_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text")).mapInArrow(storage.trimmed(run), DIGEST_SCHEMA)
