@@ -9,8 +9,9 @@ after a gap is sampled, so a walk never crosses a gap. Overlapping occurrences m
 Sorting: suffixes that reach a gap with equal words are in the order of their places, which walks keep; so doubling stops
 as soon as suffixes differ or reach a gap, whatever comes after.
 
-Documents are never shuffled: a task builds the shards of what it reads. The phrases are broadcast; a benchmark over
-PHRASE_BYTES goes in blocks of items, one after the other over each shard, and is never whole in one process.
+Documents are never shuffled: a task builds the shards of what it reads. A benchmark of at most PHRASE_BYTES is broadcast.
+A larger one never reaches the driver: tasks write it as blocks of items to the shared folder, and workers read one after
+the other over each shard, so none holds more than a block.
 
 Cases: null and empty texts have no words and no hits; items without words never occur; an item shorter than a window is
 one window; an item repeated under several ids counts for each; items with a null
@@ -20,7 +21,7 @@ ignored; with an empty benchmark nothing is hit.
 
 from __future__ import annotations
 
-import hashlib
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from pyspark.sql.types import StructField, StructType
 from tessella.llm import storage
 
 WINDOW = 10
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
 SAMPLE = 16
 PHRASE_BYTES = 64 << 20
 #: A-Z lower-cased, other ASCII but digits and letters to a space; bytes of longer signs stay.
@@ -247,25 +248,42 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 FOUND = [("n_words", "bigint", pa.int64()), ("n_hit", "bigint", pa.int64()), ("items", "array<string>", pa.list_(pa.string())), ("spans", "array<struct<begin:bigint,end:bigint>>", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))]
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
-    """The benchmark's items in blocks of about PHRASE_BYTES of text; one block in the usual case."""
-    small = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null")
-    n = -(-(small.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PHRASE_BYTES) or 1
-    for k in range(n):
-        yield [tuple(r) for r in small.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()]
+def _items(benchmark: DataFrame) -> tuple[DataFrame, int]:
+    """The distinct items with a text, and in how many blocks of about PHRASE_BYTES they go."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null").distinct()
+    return items, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PHRASE_BYTES) or 1
+
+
+def _write_blocks(items: DataFrame, n: int, window: int) -> list[str]:
+    """The phrases of each block of items as a file of the shared folder; the files' names."""
+    root = storage.new_path(items.sparkSession, "fm-index-phrases")
+
+    def run(key: tuple, groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for g in groups for r in zip(g.column("item_id").to_pylist(), g.column("text").to_pylist(), strict=True)]
+        name = f"{root}/{key[0].as_py()}.phrases"
+        storage.write_file(name, pickle.dumps(Phrases(sorted(rows, key=str), window)))
+        yield pa.RecordBatch.from_arrays([pa.array([name])], ["name"])
+
+    numbered = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
+    return [r["name"] for r in storage.in_batches(numbered).groupBy("block").applyInArrow(run, "name string").collect()]  # a name a block
+
+
+def _read_block(name: str) -> Phrases:
+    return pickle.loads(storage.mapped(name, "u1").tobytes())
 
 
 def annotated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: list[str] | None = None, prefix: str = "") -> DataFrame:
     """docs (all columns or those of keep) with n_words, n_hit, items (those with windows in the document) and spans (word
     positions that they cover, merged), their names after a prefix. Columns of these names give way."""
-    context = docs.sparkSession.sparkContext
-    blocks = [context.broadcast(items) for items in _blocks(benchmark)]
+    items, n = _items(benchmark)
+    files = _write_blocks(items, n, window) if n > 1 else []
+    small = docs.sparkSession.sparkContext.broadcast([] if files else [tuple(r) for r in items.collect()])  # PHRASE_BYTES at most
     added = [prefix + n for n, _, _ in FOUND]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
     rows = docs.select("text", *[docs[c].alias(f"kept_{c}") for c in keep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only = Phrases(blocks[0].value, window) if len(blocks) == 1 else None
+        only = None if files else Phrases(small.value, window)
         pieces: list[pa.RecordBatch] = []
         held: list[list[bytes]] = []
         size = 0
@@ -273,8 +291,8 @@ def annotated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep:
         def flush() -> Iterator[pa.RecordBatch]:
             items: list[set] = [set() for _ in held]
             spans: list[list] = [[] for _ in held]
-            for block in blocks:
-                for d, (i, s) in enumerate(scan_shard(held, only or Phrases(block.value, window))):
+            for phrases in map(_read_block, files) if files else [only]:
+                for d, (i, s) in enumerate(scan_shard(held, phrases)):
                     items[d] |= i
                     spans[d] += s
             spans = [merged(s) for s in spans]
@@ -300,7 +318,7 @@ def annotated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep:
             yield from flush()
 
     schema = StructType([StructField(c, docs.schema[c].dataType) for c in keep] + StructType.fromDDL(", ".join(f"{prefix}{n} {t}" for n, t, _ in FOUND)).fields)
-    return storage.in_batches(rows).mapInArrow(run, schema)
+    return storage.in_batches(rows).mapInArrow(storage.trimmed(run), schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
