@@ -1,5 +1,6 @@
 import collections
 import math
+import os
 import random
 import re
 import zlib
@@ -60,6 +61,34 @@ def test_scores(spark, monkeypatch):
     check(spark, rows)
     monkeypatch.setattr(kn, "HELD_PAIRS", 20)  # tasks that send more than once
     check(spark, rows)
+    monkeypatch.setattr(kn, "BUCKET_BYTES", 4096)
+    monkeypatch.setattr(kn, "OPEN_FILES", 3)
+    check(spark, rows)
+
+
+def test_frequent_first_words_are_split(spark):
+    r = random.Random(1)
+    text = " ".join(f"the w{r.randrange(10**6)}" for _ in range(6000))
+    df = spark.createDataFrame([(k, text) for k in range(3)], "doc_id bigint, text string")
+    hot = kn.frequent(df, 3, 64)
+    the = kn.word_hash(b"the")
+    assert dict(zip(*hot.tolist(), strict=True))[the] == 64 and hot.shape[1] < 10
+    words = np.array([kn.word_hash(f"w{k}".encode()) for k in range(3000)], np.uint64)
+    home = kn.pair_home(np.full(3000, the, np.uint64), words, 64, hot)
+    assert np.bincount(home, minlength=64).max() < 100
+    assert (kn.pair_home(words, words, 64, hot) == (words % np.uint64(64)).astype(int)).all()
+
+
+def test_a_lost_file_is_an_error(spark):
+    df = spark.createDataFrame([(k, "one two three") for k in range(40)], "doc_id bigint, text string")
+    about = kn.build(df)
+    assert kn.score(df, about).count() == 40
+    import glob
+
+    for f in glob.glob(about["root"].removeprefix("file:") + "/pairs-3.hash"):
+        os.remove(f)
+    with pytest.raises(Exception, match="No such file"):
+        kn.score(df.selectExpr("doc_id", "concat(text, ' ', uuid()) text"), about).collect()
 
 
 def test_little_training(spark):
