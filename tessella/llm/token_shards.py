@@ -1,10 +1,12 @@
 """Token ids as binary shards under Re-Pair grammars.
 
 A shard holds the ids of consecutive documents (ascending doc_id). Its grammar replaces, again and again, frequent pairs
-of neighbouring symbols by a new symbol; rules and their expansion lengths are stored beside the shortened sequence, so
-any id range decodes without expanding the rest (`decode_range`).
+of neighbouring symbols by a new symbol, until no pair occurs MIN_COUNT times (or MAX_RULES rules are made, or symbols
+would need more than 16 bits where the vocabulary's ids do not). Rules and their expansion lengths are stored beside the
+shortened sequence, and the place of every SAMPLE-th symbol, so any id range decodes from its sample on without a look
+at the rest (`decode_range`, `read_ranges`).
 
-Work is dealt by ranges of (doc_id, text hash): no hot key, equal ids may span tasks. The file is a Parquet table with a
+Work is dealt by ranges of (doc_id, text hash, place in the input): no hot key, not even rows equal in both. The file is a Parquet table with a
 row per shard, written by Spark's committer, so a lost executor repeats its tasks and nothing is half there.
 
 Cases: null text counts as empty (it gets the end id alone); null doc_id sorts first; repeated rows stay, each with its
@@ -29,10 +31,11 @@ from tessella.llm import splitting, storage
 
 SHARD_SCHEMA = (
     "part int, shard int, part_start bigint, n_tokens bigint, doc_ids array<bigint>, doc_tokens array<int>, base int, "
-    "width int, rules binary, rule_lengths binary, symbols binary"
+    "width int, rules binary, rule_lengths binary, symbols binary, samples binary"
 )
 ROW_SCHEMA = "doc_id bigint, part int, local_start bigint, n_tokens bigint, ids_crc32 bigint"
 SHARD_TOKENS = 1 << 18
+MIN_COUNT, MAX_RULES, SAMPLE = 10, 1 << 14, 1024
 CACHE_WORDS = 400_000
 BATCH_CHARS = 4 << 20
 
@@ -40,48 +43,57 @@ BATCH_CHARS = 4 << 20
 # ---------------------------------------------------------------- grammar
 
 
-def repair(ids: np.ndarray, base: int, rounds: int = 4, min_count: int = 10, max_rules: int = 1 << 14) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repair(ids: np.ndarray, base: int, min_count: int = MIN_COUNT, max_rules: int = MAX_RULES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules, expansion length of each, symbols): rules[k] is the pair that symbol base + k stands for.
 
-    Each round counts all neighbouring pairs, gives every pair seen min_count times a new symbol (the most frequent
-    first where symbols run out) and replaces its occurrences from left to right without overlap; a rule that overlaps
-    leave fewer than two uses is not made. Symbols that would need more than 16 bits are only made if the base does.
+    Each round counts neighbouring pairs, gives every pair seen min_count times a new symbol (the most frequent first
+    where symbols run out) and replaces its occurrences from left to right without overlap; a rule that overlaps leave
+    fewer than two uses is not made. A round looks at pairs with a symbol of the round before, as only those can have
+    become frequent; when there is none, a last look at all pairs says that it is done. Symbols that would need more
+    than 16 bits are only made if the base does.
     """
     seq, rules, lengths = ids.astype(np.uint64), [np.empty((0, 2), np.uint32)], np.ones(base, np.uint32)
     room = min(max_rules, (1 << 16) - base) if base < 1 << 16 else max_rules
-    for _ in range(rounds):
+    fresh = 0
+    while True:
         wide, far = int(base + max_rules).bit_length(), np.uint64(max(1, len(seq).bit_length()))
         if len(seq) < 2 or room <= 0 or 2 * wide + int(far) > 64:
             break
-        packed = (((seq[:-1] << np.uint64(wide)) | seq[1:]) << far) | np.arange(len(seq) - 1, dtype=np.uint64)
+        new = seq >= np.uint64(fresh)
+        at = np.flatnonzero(new[:-1] | new[1:]).astype(np.uint64) if fresh else np.arange(len(seq) - 1, dtype=np.uint64)
+        packed = (((seq[at] << np.uint64(wide)) | seq[at + np.uint64(1)]) << far) | at
         packed.sort()  # pairs together, their places ascending
         pair = packed >> far
-        edge = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
+        edge = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1]))) if len(pair) else at.astype(np.int64)
         counts = np.diff(np.append(edge, len(pair)))
-        often = np.flatnonzero(counts >= min_count)
+        often = np.flatnonzero(counts >= max(min_count, 2))
         if len(often) > room:
             often = np.sort(often[np.argsort(-counts[often], kind="stable")[:room]])
-        if not len(often):
-            break
-        rule_of_group = np.full(len(counts), -1, np.int32)
-        rule_of_group[often] = np.arange(len(often), dtype=np.int32)
-        by_pair = np.repeat(rule_of_group, counts)
-        chosen = by_pair >= 0
-        rule = np.full(len(pair), -1, np.int32)
-        rule[(packed[chosen] & ((np.uint64(1) << far) - np.uint64(1))).astype(np.int64)] = by_pair[chosen]
-        where = np.flatnonzero(rule >= 0)
-        run = np.flatnonzero(np.concatenate(([True], where[1:] != where[:-1] + 1)))  # chains of overlapping places
-        where = where[(np.arange(len(where)) - np.repeat(run, np.diff(np.append(run, len(where))))) % 2 == 0]
-        used = np.bincount(rule[where], minlength=len(often)) >= 2
-        where = where[used[rule[where]]]
-        if not len(where):
-            break
+        made = 0
+        if len(often):
+            rule_of_group = np.full(len(counts), -1, np.int32)
+            rule_of_group[often] = np.arange(len(often), dtype=np.int32)
+            by_pair = np.repeat(rule_of_group, counts)
+            chosen = by_pair >= 0
+            rule = np.full(len(seq), -1, np.int32)
+            rule[(packed[chosen] & ((np.uint64(1) << far) - np.uint64(1))).astype(np.int64)] = by_pair[chosen]
+            where = np.flatnonzero(rule >= 0)
+            run = np.flatnonzero(np.concatenate(([True], where[1:] != where[:-1] + 1)))  # chains of overlapping places
+            where = where[(np.arange(len(where)) - np.repeat(run, np.diff(np.append(run, len(where))))) % 2 == 0]
+            used = np.bincount(rule[where], minlength=len(often)) >= 2
+            where, made = where[used[rule[where]]], int(used.sum())
+        if not made:
+            if not fresh:
+                break
+            fresh = 0
+            continue
         pairs = pair[edge[often[used]]]
-        made = np.stack([pairs >> np.uint64(wide), pairs & np.uint64((1 << wide) - 1)], 1).astype(np.uint32)
+        two = np.stack([pairs >> np.uint64(wide), pairs & np.uint64((1 << wide) - 1)], 1).astype(np.uint32)
         number = (len(lengths) + np.cumsum(used) - 1).astype(np.uint64)
-        lengths = np.concatenate([lengths, lengths[made[:, 0]] + lengths[made[:, 1]]])
-        rules.append(made)
-        room -= len(made)
+        fresh = len(lengths)
+        lengths = np.concatenate([lengths, lengths[two[:, 0]] + lengths[two[:, 1]]])
+        rules.append(two)
+        room -= made
         seq[where] = number[rule[where]]
         keep = np.ones(len(seq), bool)
         keep[where + 1] = False
@@ -89,6 +101,14 @@ def repair(ids: np.ndarray, base: int, rounds: int = 4, min_count: int = 10, max
     return np.concatenate(rules), lengths[base:], seq.astype(np.uint32)
 
 
+def sizes_of(symbols: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
+    """How many ids each symbol stands for."""
+    size = np.ones(len(symbols), np.int64)
+    long = symbols >= base
+    size[long] = lengths[symbols[long].astype(np.int64) - base]
+    return size
+
+
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
     seq = symbols.astype(np.uint32)
     while len(where := np.flatnonzero(seq >= base)):
@@ -102,6 +122,12 @@ def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
     return seq
 
 
+def samples_of(symbols: np.ndarray, lengths: np.ndarray, base: int) -> bytes:
+    """How many ids stand before every SAMPLE-th symbol."""
+    size = sizes_of(symbols, lengths, base)
+    return (np.cumsum(size) - size)[::SAMPLE].astype("<i8").tobytes()
+
+
 def unpack(shard: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """(symbols, rules, expansion length of each rule, base) of a row of the file."""
     return (
@@ -113,19 +139,23 @@ def unpack(shard: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
 
 
 def decode_range(shard: dict, begin: int, end: int) -> np.ndarray:
-    """The ids begin to end of a shard, expanding only the symbols that cover them."""
+    """The ids begin to end of a shard: from the last sample before begin, symbols are measured up to end, and only those
+    that cover the range are expanded."""
     symbols, rules, lengths, base = unpack(shard)
-    wide = symbols.astype(np.int64)
-    size = np.ones(len(wide), np.int64)
-    if len(lengths):
-        size = np.where(wide >= base, lengths[np.maximum(wide - base, 0)], 1)
-    stop = np.cumsum(size)
-    begin, end = max(begin, 0), min(end, int(stop[-1]) if len(stop) else 0)
+    samples = np.frombuffer(shard["samples"], "<i8")  # ids before every SAMPLE-th symbol
+    begin = max(begin, 0)
+    if begin >= end or not len(symbols):
+        return np.empty(0, np.uint32)
+    first = max(int(np.searchsorted(samples, begin, "right")) - 1, 0)
+    last = int(np.searchsorted(samples, end, "left"))
+    part, start = symbols[first * SAMPLE : last * SAMPLE], int(samples[first])
+    stop = start + np.cumsum(sizes_of(part, lengths, base))
+    end = min(end, int(stop[-1]))
     if begin >= end:
         return np.empty(0, np.uint32)
     a, b = np.searchsorted(stop, begin, "right"), np.searchsorted(stop, end, "left")
-    skip = begin - (int(stop[a - 1]) if a else 0)
-    return expand(symbols[a : b + 1], rules, base)[skip : skip + end - begin]
+    skip = begin - (int(stop[a - 1]) if a else start)
+    return expand(part[a : b + 1], rules, base)[skip : skip + end - begin]
 
 
 # ---------------------------------------------------------------- encoding
@@ -238,7 +268,7 @@ def encode_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 2, shard_t
             width = 2 if base + len(rules) <= 1 << 16 else 4
             row = {
                 "part": part, "shard": shard, "part_start": start, "n_tokens": len(ids), "doc_ids": doc_ids, "doc_tokens": sizes, "base": base, "width": width,
-                "rules": rules.astype("<u4").tobytes(), "rule_lengths": lengths.astype("<u4").tobytes(), "symbols": symbols.astype(f"<u{width}").tobytes(),
+                "rules": rules.astype("<u4").tobytes(), "rule_lengths": lengths.astype("<u4").tobytes(), "symbols": symbols.astype(f"<u{width}").tobytes(), "samples": samples_of(symbols, lengths, base),
             }
             shard, start, doc_ids, sizes, held = shard + 1, start + len(ids), [], [], []
             return pa.RecordBatch.from_pylist([row], schema=arrow)
@@ -262,8 +292,9 @@ def encode_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 2, shard_t
     arrow = to_arrow_schema(StructType.fromDDL(SHARD_SCHEMA))
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("tie"))
-    rows = rows.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
+    # the place splits rows that are equal in id and text, whose order shows in nothing that is written
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("place"))
+    rows = rows.repartitionByRange(n, "doc_id", "tie", "place").sortWithinPartitions("doc_id", "tie", "text")
     return storage.in_batches(rows.select("doc_id", "text")).mapInArrow(encode, SHARD_SCHEMA)
 
 
@@ -297,3 +328,25 @@ def read_documents(shards: DataFrame) -> DataFrame:
 
     out = storage.in_batches(shards).mapInArrow(decode, ROW_SCHEMA).join(F.broadcast(starts), "part")
     return out.select("doc_id", (F.col("part_offset") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32", "part", "local_start")
+
+
+def read_ranges(shards: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The ids of some documents (wanted: doc_id) without decoding the rest: doc_id, part, local_start, ids. Shards without
+    any of them are left out; of the others, the samples lead to each document's symbols."""
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                r = b.slice(k, 1).to_pylist()[0]
+                stops = np.cumsum(np.array(r["doc_tokens"], np.int64)).tolist()
+                found: tuple[list, list, list, list] = ([], [], [], [])
+                for at in r["places"]:
+                    begin = stops[at] - r["doc_tokens"][at]
+                    for column, v in zip(found, (r["doc_ids"][at], r["part"], r["part_start"] + begin, decode_range(r, begin, stops[at])), strict=True):
+                        column.append(v)
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, kinds, strict=True)], ["doc_id", "part", "local_start", "ids"])
+
+    here = shards.select("part", "shard", F.posexplode("doc_ids").alias("place", "doc_id"))
+    here = here.join(wanted.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_id"))).groupBy("part", "shard").agg(F.collect_list("place").alias("places"))
+    return storage.in_batches(shards.join(here, ["part", "shard"])).mapInArrow(decode, "doc_id bigint, part int, local_start bigint, ids array<int>")

@@ -29,11 +29,11 @@ def test_encoder_on_any_text(t):
 @given(st.lists(st.integers(0, 5), max_size=400), st.integers(1, 5))
 def test_grammar_round_trip(ids, least):
     ids = np.array(ids, np.uint32)
-    rules, lengths, symbols = ts.repair(ids, 6, rounds=6, min_count=max(2, least))
+    rules, lengths, symbols = ts.repair(ids, 6, min_count=max(2, least))
     assert ts.expand(symbols, rules, 6).tolist() == ids.tolist()
     full = [len(ts.expand(np.array([6 + k], np.uint32), rules, 6)) for k in range(len(rules))]
     assert lengths.tolist() == full
-    shard = {"symbols": symbols.astype("<u4").tobytes(), "width": 4, "rules": rules.astype("<u4").tobytes(), "rule_lengths": lengths.astype("<u4").tobytes(), "base": 6}
+    shard = {"symbols": symbols.astype("<u4").tobytes(), "width": 4, "rules": rules.astype("<u4").tobytes(), "rule_lengths": lengths.astype("<u4").tobytes(), "base": 6, "samples": ts.samples_of(symbols, lengths, 6)}
     for a, z in ((0, len(ids)), (3, 17), (len(ids) // 2, len(ids) // 2 + 9), (5, 5), (len(ids) - 1, len(ids) + 5)):
         assert ts.decode_range(shard, a, z).tolist() == ids[max(a, 0) : z].tolist()
 
@@ -43,6 +43,49 @@ def test_grammar_shrinks_what_repeats():
     assert len(ts.repair(ids, 10)[2]) < len(ids) / 8
 
 
+def uses(symbols):
+    """The most uses of a pair, without overlaps."""
+    pairs = {}
+    for k, p in enumerate(zip(symbols.tolist(), symbols[1:].tolist(), strict=False)):
+        n, last = pairs.get(p, (0, -2))
+        if last < k - 1:
+            pairs[p] = (n + 1, k)
+    return max((n for n, _ in pairs.values()), default=0)
+
+
+def test_grammar_goes_on_until_no_pair_is_frequent(monkeypatch):
+    r = np.random.default_rng(3)
+    base = np.concatenate([r.integers(0, 900, 3000)] * 40 + [r.integers(0, 30, 20_000)]).astype(np.uint32)
+    rules, lengths, symbols = ts.repair(base, 1000, min_count=10)
+    assert uses(symbols) < 10 and lengths.max() > 1000 and len(symbols) < 12_000
+    assert ts.expand(symbols, rules, 1000).tolist() == base.tolist()
+    monkeypatch.setattr(ts, "SAMPLE", 8)
+    shard = {"symbols": symbols.astype("<u4").tobytes(), "width": 4, "rules": rules.astype("<u4").tobytes(), "rule_lengths": lengths.astype("<u4").tobytes(), "base": 1000, "samples": ts.samples_of(symbols, lengths, 1000)}
+    for a in r.integers(0, len(base), 200).tolist():
+        for n in (1, 40, 5000):
+            assert ts.decode_range(shard, a, a + n).tolist() == base[a : a + n].tolist()
+
+
+def test_some_documents_are_read_alone(spark):
+    data = [(k, f"text {k} " * (k % 7), 0, "x") for k in range(60)] + [(None, "nobody's", 0, "x"), (5, "again five", 0, "x")]
+    file = storage.written(ts.encode_shards(spark.createDataFrame(data, "doc_id bigint, text string, n_tokens int, start string"), PATH, shard_tokens=50), "test-shards")
+    got = ts.read_ranges(file, spark.createDataFrame([(5,), (17,), (None,), (1000,), (5,)], "doc_id bigint")).collect()
+    coder = Tokenizer.from_file(PATH)
+    want = [(i, [*coder.encode(t, add_special_tokens=False).ids, 2]) for i, t, _, _ in data if i in (5, 17, None)]
+    assert sorted(map(str, ((r.doc_id, r.ids) for r in got))) == sorted(map(str, want))
+    assert [(r.local_start, r.part) for r in got if r.doc_id == 17] == [(r.local_start, r.part) for r in ts.read_documents(file).collect() if r.doc_id == 17]
+
+
+def test_many_equal_rows_are_split(spark):
+    data = [(7, "the same text", 0, "x")] * 4000 + [(k, "other", 0, "x") for k in range(20)]
+    df = spark.createDataFrame(data, "doc_id bigint, text string, n_tokens int, start string").repartition(4)
+    file = storage.written(ts.encode_shards(df, PATH, partitions=4), "test-shards")
+    got = ts.read_documents(file).collect()
+    assert len(got) == 4020 and max(r["count"] for r in ts.read_documents(file).groupBy("part").count().collect()) < 2000
+    stops = sorted((r.start, r.n_tokens, r.doc_id) for r in got)
+    assert stops[0][0] == 0 and all(a[0] + a[1] == b[0] and a[2] <= b[2] for a, b in zip(stops, stops[1:], strict=False))
+
+
 def rows(spark, data):
     df = spark.createDataFrame(data, "doc_id bigint, text string, n_tokens int, start string")
     return ts.read_documents(storage.written(ts.encode_shards(df, PATH, shard_tokens=700), "test-shards")).collect()
