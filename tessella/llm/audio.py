@@ -5,8 +5,10 @@ needs bounded memory: each block is resampled by UP / DOWN with one filter a pha
 overlapping frames get a Hann window, a Fourier transform and triangular mel filters. A segment begins where a frame's
 level, relative to the signal's mean level, reaches ENTER decibels and ends where it falls to LEAVE.
 
-Log-mels are stored as tensors of the fixed shape (FRAMES, MELS), the last one padded with the floor, each with its time
-span; `as_tensors` gives the Arrow extension type. Every document is computed alone, so equal media give equal features.
+`features` makes a row of each medium: its digests, its log-mels as tensors of the fixed shape (FRAMES, MELS), each with
+its time span and the last one padded with the floor, and its segments' time spans. What is reported later (`described`)
+is read from those rows. `tensor_rows` and `as_tensors` give the tensors one by one, in Arrow's extension type. Every
+document is computed alone, so equal media give equal features.
 
 Cases: null and empty texts are 64 zero bytes; silence has the floor as level and no segments; a broken WAV header is an
 error; repeated rows repeat; other columns are ignored; an empty table gives no rows.
@@ -23,6 +25,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tessella.llm import storage
 
@@ -134,60 +137,81 @@ def as_media(docs: DataFrame) -> DataFrame:
                     [b.column(0).slice(k, 512), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array([wav(payload(t)) for t in texts], pa.binary())], ["doc_id", "n_bytes", "media"]
                 )
 
-    return storage.in_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text")).mapInArrow(run, "doc_id bigint, n_bytes bigint, media binary")
+    return storage.in_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text")).mapInArrow(storage.trimmed(run), "doc_id bigint, n_bytes bigint, media binary")
 
 
-TENSOR_SCHEMA = "doc_id bigint, part int, begin_s double, end_s double, mels array<float>"
+SPAN = "begin_s:double,end_s:double"
+FEATURE_SCHEMA = (
+    "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, "
+    f"tensors array<struct<{SPAN},mels:array<float>>>, segments array<struct<{SPAN}>>"
+)
+STEP = HOP / (RATE * UP / DOWN)
+
+
+def _lists(sizes: list[int], values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), pa.int32()), values)
+
+
+def _spans(begin: np.ndarray, end: np.ndarray, *more: pa.Array) -> pa.Array:
+    return pa.StructArray.from_arrays([pa.array(begin, pa.float64()), pa.array(end, pa.float64()), *more], ["begin_s", "end_s", *["mels"][: len(more)]])
 
 
 def features(media: DataFrame) -> DataFrame:
-    """A row for each tensor: doc_id, part, its time span and its FRAMES x MELS values, rows first."""
+    """A row for each medium (FEATURE_SCHEMA), all from the stored bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = HOP / (RATE * UP / DOWN)
         for b in batches:
-            for i, m in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                mels, _ = log_mels(samples_of(m.as_py()))
-                blocks = tensors(mels)
-                part = np.arange(len(blocks))
-                values = pa.ListArray.from_arrays(pa.array(np.arange(len(blocks) + 1) * FRAMES * MELS, pa.int32()), pa.array(blocks.ravel()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i] * len(blocks), pa.int64()), pa.array(part, pa.int32()), pa.array(part * FRAMES * step), pa.array(np.minimum((part + 1) * FRAMES, len(mels)) * step), values],
-                    ["doc_id", "part", "begin_s", "end_s", "mels"],
-                )
-
-    return storage.in_batches(media.select("doc_id", "media")).mapInArrow(run, TENSOR_SCHEMA)
+            said: list[list] = [[] for _ in range(5)]
+            cubes, frames, segs = [], [], []
+            for m in b.column(2):
+                media = m.as_py()
+                data = samples_of(media)
+                for column, v in zip(said, (len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-64:]), len(media), hashlib.sha256(media).hexdigest()), strict=True):
+                    column.append(v)
+                mels, levels = log_mels(data)
+                cubes.append(tensors(mels))
+                frames.append(len(mels))
+                segs.append(segments(levels))
+            sizes = [len(c) for c in cubes]
+            part = np.concatenate([np.arange(n) for n in sizes]) if sizes else np.empty(0)
+            end = np.minimum((part + 1) * FRAMES, np.repeat(frames, sizes)) * STEP
+            flat = pa.array(np.concatenate([c.ravel() for c in cubes]) if cubes else np.empty(0, np.float32))
+            of = _lists(sizes, _spans(part * FRAMES * STEP, end, _lists([FRAMES * MELS] * len(part), flat)))
+            both = np.array([x for s in segs for x in s], float).reshape(-1, 2)
+            spans = _lists([len(s) for s in segs], _spans(both[:, 0], both[:, 1]))
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string())
+            names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256"]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *map(pa.array, said, kinds), of, spans], ["doc_id", "n_bytes", *names, "tensors", "segments"])
+
+    return storage.in_batches(media.select("doc_id", "n_bytes", "media")).mapInArrow(storage.trimmed(run), FEATURE_SCHEMA)
+
+
+def tensor_rows(found: DataFrame) -> DataFrame:
+    """A row for each tensor: doc_id, part, its time span and its FRAMES x MELS values, rows first."""
+    return found.select("doc_id", F.posexplode("tensors").alias("part", "t")).select("doc_id", "part", "t.begin_s", "t.end_s", "t.mels")
 
 
 def as_tensors(table: pa.Table) -> pa.Table:
-    """An Arrow table of `features` with mels as the fixed-shape tensor type."""
+    """An Arrow table of `tensor_rows` with mels as the fixed-shape tensor type."""
     kind = pa.fixed_shape_tensor(pa.float32(), (FRAMES, MELS), dim_names=("frame", "mel"))
     flat = pa.chunked_array([pa.ExtensionArray.from_storage(kind, c.cast(pa.list_(pa.float32(), FRAMES * MELS))) for c in table["mels"].chunks], kind)
     return table.set_column(table.schema.get_field_index("mels"), "mels", flat)
 
 
-def digest(mels: np.ndarray, levels: np.ndarray) -> str:
-    """Frames, segments, seconds within them, and a digest of the log-mels in hundredths."""
-    spans = segments(levels)
-    values = np.round(tensors(mels).astype(np.float64) * 100).astype("<i4").tobytes()
-    return f"{len(mels)}f {len(spans)}s {sum(z - a for a, z in spans):.3f} {hashlib.sha256(values).hexdigest()[:16]}"
-
-
-def digests(media: DataFrame) -> DataFrame:
-    """Per document, all from the stored bytes: doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes,
-    media_sha256, feature."""
+def described(found: DataFrame) -> DataFrame:
+    """The rows of `features` with feature in place of tensors and segments: frames, segments, seconds within them, and a
+    digest of the log-mels in hundredths."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows: list[list] = [[] for _ in range(6)]
-            for m in b.column(2):
-                media = m.as_py()
-                data = samples_of(media)
-                found = (len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-64:]), len(media), hashlib.sha256(media).hexdigest(), digest(*log_mels(data)))
-                for column, v in zip(rows, found, strict=True):
-                    column.append(v)
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *map(pa.array, rows, kinds)], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
-
-    schema = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
-    return storage.in_batches(media.select("doc_id", "n_bytes", "media")).mapInArrow(run, schema)
+            out = []
+            for of, spans in zip(b.column("tensors"), b.column("segments"), strict=True):
+                t, s = of.values, spans.values.flatten()
+                values = np.round(t.field("mels").flatten().to_numpy().astype(np.float64) * 100).astype("<i4").tobytes()
+                inside = sum(z - a for a, z in zip(s[0].to_pylist(), s[1].to_pylist(), strict=True))
+                out.append(f"{round(t.field('end_s')[-1].as_py() / STEP)}f {len(s[0])}s {inside:.3f} {hashlib.sha256(values).hexdigest()[:16]}")
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(out, pa.string())], [*keep, "feature"])
+
+    keep = [c for c in found.columns if c not in ("tensors", "segments")]
+    schema = ", ".join(f"{c} {found.schema[c].dataType.simpleString()}" for c in keep) + ", feature string"
+    return storage.in_batches(found.select(*keep, "tensors", "segments")).mapInArrow(storage.trimmed(run), schema)

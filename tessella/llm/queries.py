@@ -60,7 +60,10 @@ def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audio.digests(storage.written(audio.as_media(table(spark, sf_dir, "documents")), "media"))
+    media = storage.written(audio.as_media(table(spark, sf_dir, "documents")), "media")
+    found = storage.written(audio.features(media), "audio-features")
+    storage.drop(media)
+    return audio.described(found)
 
 
 #: The contract's rules: verdict, host, path.

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tessella.llm import audio
+from tessella.llm import audio, storage
 
 
 @settings(max_examples=50, deadline=None)
@@ -72,17 +72,57 @@ def test_segments():
 def test_documents(spark):
     texts = ["hello", None, "", "é" * 32, "long " * 20000, "hello"]
     df = spark.createDataFrame([(k, t, 1, "x") for k, t in enumerate(texts)] + [(None, "hello", 1, "x")], "doc_id bigint, text string, n_bytes int, media string")
-    media = audio.as_media(df)
-    got = {r.doc_id: r for r in audio.digests(media).collect()}
+    found = storage.written(audio.features(storage.written(audio.as_media(df), "media")), "features")
+    got = {r.doc_id: r for r in audio.described(found).collect()}
     for k, t in enumerate(texts):
         data, r = audio.payload(t), got[k]
         assert (r.n_bytes, r.payload_bytes, r.media_bytes) == (len((t or "").encode()), len(data), len(audio.wav(data)))
         assert (r.payload_sha256, r.tail_crc32, r.media_sha256) == (hashlib.sha256(data).hexdigest(), zlib.crc32(data[-64:]), hashlib.sha256(audio.wav(data)).hexdigest())
+        mels, segs = plain_features(data)
+        frames, n, seconds, _ = r.feature.split()
+        assert (frames, n) == (f"{len(mels)}f", f"{len(segs)}s") and abs(float(seconds) - sum(z - a for a, z in segs)) < 1e-3
     assert got[0].feature == got[5].feature == got[None].feature and got[1].feature == got[2].feature != got[0].feature
-    rows = audio.features(media).where("doc_id = 4").orderBy("part").toArrow()
-    mels, _ = audio.log_mels(audio.payload(texts[4]))
+    rows = audio.tensor_rows(found).where("doc_id = 4").orderBy("part").toArrow()
+    mels, segs = plain_features(audio.payload(texts[4]))
     t = audio.as_tensors(rows)
     assert isinstance(t["mels"].type, pa.FixedShapeTensorType) and t["mels"].type.shape == [audio.FRAMES, audio.MELS]
-    assert np.allclose(np.concatenate([c.to_numpy_ndarray() for c in t["mels"].chunks]).reshape(-1, audio.MELS)[: len(mels)], mels)
-    assert t["begin_s"].to_pylist()[1:] == t["end_s"].to_pylist()[:-1]
-    assert audio.digests(audio.as_media(df.where("false"))).collect() == []
+    stored = np.concatenate([c.to_numpy_ndarray() for c in t["mels"].chunks]).reshape(-1, audio.MELS)
+    assert np.allclose(stored[: len(mels)], mels, atol=1e-3) and np.allclose(stored[len(mels) :], np.log(audio.FLOOR))
+    values = np.round(stored.astype(np.float64) * 100).astype("<i4").tobytes()
+    assert got[4].feature.endswith(hashlib.sha256(values).hexdigest()[:16])
+    assert t["begin_s"].to_pylist()[1:] == t["end_s"].to_pylist()[:-1] and np.isclose(t["end_s"][-1].as_py(), len(mels) * audio.STEP)
+    assert np.allclose([(x.begin_s, x.end_s) for x in found.where("doc_id = 4").first().segments], segs)
+    assert audio.described(audio.features(audio.as_media(df.where("false")))).collect() == []
+
+
+def plain_features(data):
+    """Log-mels and segments by the formulas, a value at a time: the resampler as a sum over the taps, the spectrum as sines."""
+    x = (np.frombuffer(data, np.uint8).astype(float) - 128) / 128
+    cut, half, rate = min(1.0, audio.UP / audio.DOWN) * 0.94, audio.TAPS // 2, audio.RATE * audio.UP / audio.DOWN
+    where = np.arange(-(-len(x) // audio.DOWN) * audio.UP) * audio.DOWN / audio.UP
+    y = np.zeros(len(where))
+    for p in range(audio.UP):  # each output sample is a windowed sinc around its place
+        at = where[p :: audio.UP]
+        first = np.floor(at[0] + 1e-9).astype(int) - half + 1 - (p * audio.DOWN // audio.UP) + np.arange(len(at)) * audio.DOWN
+        taps = [(first + k, (first + k) - at) for k in range(audio.TAPS)]
+        weights = [cut * np.sinc(cut * d) * np.where(np.abs(d) <= half, 0.5 + 0.5 * np.cos(np.pi * d / half), 0) for _, d in taps]
+        total = sum(weights)
+        y[p :: audio.UP] = sum(np.where((i >= 0) & (i < len(x)), x[np.clip(i, 0, len(x) - 1)], 0) * w for (i, _), w in zip(taps, weights, strict=True)) / total
+    y = np.append(y, np.zeros(max(0, audio.FRAME - len(y))))
+    n, f = np.arange(audio.FRAME), np.arange(audio.FRAME // 2 + 1)
+    sines = np.exp(-2j * np.pi * np.outer(n, f) / audio.FRAME)
+    frames = np.stack([y[a : a + audio.FRAME] for a in range(0, len(y) - audio.FRAME + 1, audio.HOP)])
+    power = np.abs(frames * (0.5 - 0.5 * np.cos(2 * np.pi * n / audio.FRAME)) @ sines) ** 2 / audio.FRAME
+    mel = lambda hz: 2595 * np.log10(1 + hz / 700)
+    edges = 700 * (10 ** (np.arange(audio.MELS + 2) * mel(rate / 2) / (audio.MELS + 1) / 2595) - 1)
+    hz = f * rate / audio.FRAME
+    bank = np.array([[max(0.0, min((h - a) / (c - a), (z - h) / (z - c))) for a, c, z in zip(edges, edges[1:], edges[2:], strict=False)] for h in hz])
+    level = 10 * np.log10((frames**2).mean(1) + audio.FLOOR)
+    level -= level.mean()
+    segs, since = [], None
+    for k, v in enumerate(level):
+        if since is None and v >= audio.ENTER:
+            since = k
+        elif since is not None and v <= audio.LEAVE:
+            segs, since = [*segs, (since * audio.STEP, k * audio.STEP)], None
+    return np.log(power @ bank + audio.FLOOR), segs if since is None else [*segs, (since * audio.STEP, len(level) * audio.STEP)]
