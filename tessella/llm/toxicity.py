@@ -12,8 +12,8 @@ Learning, from labelled rows outside the held-out third, never from lang, source
   the number of candidates. A beginning gives way to a longer one that covers the same texts. The weight is the log odds.
 * the logistic model: a maximum a posteriori fit on the same sample; its prior holds where a kind never occurs.
 
-Cases: null and empty texts match nothing and get the model's lowest score; labels may repeat or name no row; rows with a
-null label teach nothing; with no labels the prior and the seed words decide; repeated rows score alike; an empty table
+Cases: null and empty texts match nothing and get the model's lowest score; labels may repeat or name no row; null labels
+and ids with labels that differ teach nothing; an id with several rows teaches its least text once; with no labels the prior and the seed words decide; repeated rows score alike; an empty table
 gives no rows; other columns are ignored.
 """
 
@@ -167,11 +167,14 @@ def held_out(doc_id: Column, modulus: int = 3, rest: int = 1) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> DataFrame:
-    """(doc_id, text, toxic) of a bounded number of labelled rows that are not held out, first by hash of doc_id."""
+    """(doc_id, text, toxic) of at most toxic_rows and clean_rows labelled ids that are not held out, first by hash of
+    doc_id. An id is one row, whatever its rows in docs: its least text. Labels of one id that differ teach nothing."""
     known = labels.selectExpr("cast(doc_id as bigint) doc_id", "cast(toxic as int) toxic").where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
+    known = known.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most").select("doc_id", "toxic")
     first = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for y, n in ((1, toxic_rows), (0, clean_rows))]
-    chosen = F.broadcast(first[0].unionByName(first[1]).dropDuplicates(["doc_id"]))  # at most toxic_rows + clean_rows ids
-    return storage.written(docs.selectExpr("cast(doc_id as bigint) doc_id", "text").join(chosen, "doc_id"), "toxicity-sample")
+    chosen = F.broadcast(first[0].unionByName(first[1]))  # at most toxic_rows + clean_rows ids
+    rows = docs.selectExpr("cast(doc_id as bigint) doc_id", "text").join(chosen, "doc_id")
+    return storage.written(rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic")), "toxicity-sample")
 
 
 def _sketch(words: list[str]) -> list[int]:
@@ -191,7 +194,7 @@ def _word_sets(rows: DataFrame) -> DataFrame:
                 out[1].append(np.array(_sketch(words) if words else [0] * 4, np.uint64).view(np.int64).tolist())
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.list_(pa.string())), pa.array(out[1], pa.list_(pa.int64()))], ["words", "sketch"])
 
-    return storage.in_batches(rows.select("text")).mapInArrow(run, "words array<string>, sketch array<bigint>")
+    return storage.in_batches(rows.select("text")).mapInArrow(storage.trimmed(run), "words array<string>, sketch array<bigint>")
 
 
 def _groups(sketches: Iterable[list[int]]) -> list[int]:
@@ -305,7 +308,7 @@ def scored(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOLD, names:
             score = 1 / (1 + np.exp(-np.clip(design(kinds) @ weights, -30, 30)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))], [*keep, *names])
 
-    return storage.in_batches(docs.select(keep)).mapInArrow(run, schema)
+    return storage.in_batches(docs.select(keep)).mapInArrow(storage.trimmed(run), schema)
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
