@@ -100,31 +100,47 @@ def assign(edges: DataFrame, grid: Grid, overlap: str = "last", fallback: bool =
 # ---------------------------------------------------------------- strips
 
 
-def strip_owners(edges: DataFrame, grid: Grid, overlap: str = "last", fallback: bool = True, tile: int = TILE) -> DataFrame:
-    """(row, tile, owners): for each cell of a strip the array of zones that own it. One row a strip that any zone meets,
-    so a raster stored as strips joins by (row, tile) and its pixels never move one by one."""
-    found = spans(edges, grid)
-    pieces = found.select("fid", "row", "first", "last", F.explode(F.sequence(F.floor(F.col("first") / tile), F.floor(F.col("last") / tile))).alias("tile"))
-    pieces = pieces.select("fid", "row", F.col("tile").cast("int").alias("tile"), F.greatest(F.col("first") - F.col("tile") * tile, F.lit(0)).alias("a"), F.least(F.col("last") - F.col("tile") * tile, F.lit(tile - 1)).alias("z"))
-    strips = pieces.groupBy("row", "tile").agg(F.collect_list(F.struct("fid", "a", "z")).alias("s"))
-    inside = lambda c: F.transform(F.filter("s", lambda p: (p["a"] <= c) & (p["z"] >= c)), lambda p: p["fid"])
-    one = (lambda c: F.filter(F.array(F.array_max(inside(c))), lambda f: f.isNotNull())) if overlap == "last" else inside
+def strip_spans(edges: DataFrame, grid: Grid, overlap: str = "last", fallback: bool = True, tile: int = TILE) -> DataFrame:
+    """(row, tile, owners): for each strip that any zone meets, spans (fid, a, z) of cells a to z that a zone owns. One row
+    a strip, so a raster stored as strips joins by (row, tile) and its pixels never move one by one; a strip's owners are
+    as many as its zones' borders, not as its cells."""
     if overlap not in ("last", "all"):
         raise ValueError(f"overlap must be 'last' or 'all', not {overlap!r}")
-    owners = strips.select("row", "tile", F.transform(F.sequence(F.lit(0), F.lit(tile - 1)), one).alias("owners"))
+    found = spans(edges, grid)
+    pieces = found.select("fid", "row", "first", "last", F.explode(F.sequence(F.floor(F.col("first") / tile), F.floor(F.col("last") / tile))).alias("tile"))
+    pieces = pieces.select("fid", "row", F.col("tile").cast("int").alias("tile"), F.greatest(F.col("first") - F.col("tile") * tile, F.lit(0)).cast("int").alias("a"), F.least(F.col("last") - F.col("tile") * tile, F.lit(tile - 1)).cast("int").alias("z"))
+    owners = pieces.groupBy("row", "tile").agg(F.collect_list(F.struct("fid", "a", "z")).alias("owners"))
+    if overlap == "last":
+        owners = _last(owners)
     if not fallback:
         return owners
-    kept = owners.select(F.explode(F.array_distinct(F.flatten("owners"))).alias("fid")).distinct()
-    extra = fallback_cells(edges, kept, grid).select("row", F.floor(F.col("col") / tile).cast("int").alias("tile"), (F.col("col") % tile).alias("k"), "fid")
-    extra = extra.groupBy("row", "tile").agg(F.collect_list(F.struct("k", "fid")).alias("more"))
-    added = lambda c: F.transform(F.filter("more", lambda m: m["k"] == c), lambda m: m["fid"])
-    empty = F.expr("cast(array() as array<bigint>)")
+    kept = owners.select(F.explode("owners.fid").alias("fid")).distinct()
+    extra = _fallback_spans(edges, kept, grid, tile).groupBy("row", "tile").agg(F.collect_list(F.struct("fid", "a", "z")).alias("more"))
+    none = F.expr("cast(array() as array<struct<fid:bigint,a:int,z:int>>)")
     joined = owners.join(extra, ["row", "tile"], "full_outer")
-    return joined.select("row", "tile", F.transform(F.sequence(F.lit(0), F.lit(tile - 1)), lambda c: F.concat(F.coalesce(F.get("owners", c), empty), F.coalesce(added(c), empty))).alias("owners"))
+    return joined.select("row", "tile", F.concat(F.coalesce("owners", none), F.coalesce("more", none)).alias("owners"))
+
+
+def _last(owners: DataFrame) -> DataFrame:
+    """Where spans overlap, the cells go to the largest fid: a strip is cut where a span begins or has ended."""
+    cuts = owners.withColumn("cuts", F.array_sort(F.array_distinct(F.flatten(F.transform("owners", lambda p: F.array(p["a"], p["z"] + 1))))))
+    cuts = cuts.withColumn("pairs", F.arrays_zip(F.col("cuts").alias("a"), F.slice("cuts", F.lit(2), F.size("cuts")).alias("b")))
+    holder = lambda c: F.array_max(F.transform(F.filter("owners", lambda p: (p["a"] <= c["a"]) & (p["z"] >= c["a"])), lambda p: p["fid"]))
+    held = F.transform("pairs", lambda c: F.struct(holder(c).alias("fid"), c["a"].alias("a"), (c["b"] - 1).alias("z")))
+    return cuts.select("row", "tile", F.filter(held, lambda p: p["fid"].isNotNull() & p["z"].isNotNull()).alias("owners"))
+
+
+def _fallback_spans(edges: DataFrame, cells: DataFrame, grid: Grid, tile: int) -> DataFrame:
+    """`fallback_cells` as spans of strips: fid, row, tile, a, z."""
+    w = window_of_box(unset_zones(edges, cells), grid)
+    rows = w.select("fid", "col_lo", (F.col("col_hi") - 1).alias("col_hi"), F.explode(F.sequence("row_lo", F.col("row_hi") - 1)).alias("row"))
+    rows = rows.select("fid", "row", "col_lo", "col_hi", F.explode(F.sequence(F.floor(F.col("col_lo") / tile).cast("int"), F.floor(F.col("col_hi") / tile).cast("int"))).alias("tile"))
+    return rows.select("fid", "row", "tile", F.greatest(F.col("col_lo") - F.col("tile") * tile, F.lit(0)).cast("int").alias("a"), F.least(F.col("col_hi") - F.col("tile") * tile, F.lit(tile - 1)).cast("int").alias("z"))
 
 
 def owned_values(strips: DataFrame, owners: DataFrame) -> DataFrame:
     """(raster, fid, value) of every cell of a strip and each of its zones; strips no zone meets are never decoded."""
     both = strips.join(owners, ["row", "tile"])
-    cells = both.select("raster", F.explode(F.arrays_zip(F.col("values").alias("value"), F.col("owners").alias("fids"))).alias("c")).where("c.value is not null and size(c.fids) > 0")
-    return cells.select("raster", F.col("c.value").alias("value"), F.explode("c.fids").alias("fid")).select("raster", "fid", "value")
+    held = both.select("raster", "values", F.explode("owners").alias("o"))
+    cells = held.select("raster", F.col("o.fid").alias("fid"), F.explode(F.slice("values", F.col("o.a") + 1, F.col("o.z") - F.col("o.a") + 1)).alias("value"))
+    return cells.where("value is not null")

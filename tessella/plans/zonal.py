@@ -34,7 +34,7 @@ def zonal_statistics_of_strips(
     overlap: str = "last", fallback: bool = True, percentiles=(), nan_is_nodata: bool = True, **options,
 ) -> DataFrame:
     """The same over rasters stored as strips: only (row, tile) arrays are joined, pixels stay where they are read."""
-    owned = assign.owned_values(strips, assign.strip_owners(edges, grid, overlap, fallback))
+    owned = assign.owned_values(strips, assign.strip_spans(edges, grid, overlap, fallback))
     return finish(zones, owned.join(zones.select("fid", "group"), "fid"), rasters, nodata, percentiles, nan_is_nodata, **options)
 
 

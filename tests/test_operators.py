@@ -79,8 +79,8 @@ def test_assignment(spark, overlap, fallback):
     got = assign.assign(edges, GRID, overlap, fallback).collect()
     assert len(got) == len(set(got)) and {tuple(r) for r in got} == want
     for tile in (3, 256):
-        owners = assign.strip_owners(edges, GRID, overlap, fallback, tile).collect()
-        assert {(f, r.row, r.tile * tile + k) for r in owners for k, fs in enumerate(r.owners) for f in fs} == want
+        owners = assign.strip_spans(edges, GRID, overlap, fallback, tile).collect()
+        assert sorted((o.fid, r.row, r.tile * tile + k) for r in owners for o in r.owners for k in range(o.a, o.z + 1)) == sorted(want)
     with pytest.raises(ValueError):
         assign.resolve(None, "first")
 
@@ -195,9 +195,9 @@ def long(spark):
 
 def test_reports(spark):
     a = report.csv_text(report.pivoted(long(spark), " agg_field , base_raster", "zone", ["r1", "r2"], ["min", "count"]))
-    assert a == "zone,min_r1,min_r2,count_r1,count_r2\r\n10,2.0,,4,0\r\n9,1.0,5.5,3,1\r\n,,7.0,0,2\r\n"
+    assert a == "zone,min_r1,count_r1,min_r2,count_r2\r\n10,2.0,4,,0\r\n9,1.0,3,5.5,1\r\n,,0,7.0,2\r\n"
     b = report.csv_text(report.pivoted(long(spark), "base_raster,agg_field", "zone", ["r2", "r1"], ["min", "count"]))
-    assert b == "base_raster,min_10,min_9,min_,count_10,count_9,count_\r\nr2,,5.5,7.0,0,1,2\r\nr1,2.0,1.0,,4,3,0\r\n"
+    assert b == "base_raster,min_10,count_10,min_9,count_9,min_,count_\r\nr2,,0,5.5,1,7.0,2\r\nr1,2.0,4,1.0,3,,0\r\n"
     c = report.csv_text(report.pivoted(long(spark).drop("count"), "base_raster,agg_field", "zone", ["r1", "r2"], ["min"]))
     assert c.startswith("base_raster,min_10,min_9,min_\r\n")
     twice = long(spark).unionByName(long(spark).where("group is null").withColumn("group", F.lit("")))
