@@ -3,7 +3,7 @@
 The built-in exact percentile keeps a map of a group's distinct values in one task. Here each wanted rank keeps a range of
 values that must hold it and how many values are below. A round estimates two quantiles around the rank inside the range
 and counts what lies below and between them, both with partial aggregation; the range shrinks by about the accuracy of
-the estimate. When at most `limit` values are left, or one value fills the range, those are sorted and the rank is read off. No
+the estimate, and rounds go on until it is small. When at most `limit` values are left, or one value fills the range, those are sorted and the rank is read off. No
 group is ever in one task; an estimate that missed the rank only costs a round.
 """
 
@@ -28,7 +28,7 @@ def _cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def selected_percentiles(rows: DataFrame, keys: list[str], percentiles, limit: int = 100_000, accuracy: int = 1000, rounds: int = 30) -> DataFrame:
+def selected_percentiles(rows: DataFrame, keys: list[str], percentiles, limit: int = 100_000, accuracy: int = 1000) -> DataFrame:
     """keys and a column for each percentile, linear between neighbours, over rows (keys, value). Null values are left
     out; a group with a NaN has NaN for all; a group without values has none."""
     ps, limit = normal_percentiles(percentiles), max(limit, 16)  # a range keeps a few values around its rank
@@ -49,10 +49,9 @@ def selected_percentiles(rows: DataFrame, keys: list[str], percentiles, limit: i
         return rows.join(right, same if same is not None else F.lit(True)).where(F.col("value").between(F.col("low"), F.col("high"))).drop(*names.values())
 
     open_ = (F.col("inside") > limit) & (F.col("low") < F.col("high")) & ~F.col("nan")
-    for _ in range(rounds):
-        wide = state.where(open_)
-        if wide.isEmpty():
-            break
+    k = 0
+    while not (wide := state.where(open_)).isEmpty():
+        k, accuracy = k + 1, accuracy * 2 if k >= 8 else accuracy  # an estimate that misses again and again is made better
         # two quantiles around the rank; where they fall is only an estimate
         inside = bounded(wide.select(*keys, "p", "low", "high"))
         grid = [k / (accuracy // 4) for k in range(accuracy // 4 + 1)]

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.scalar import is_nodata
-from tessella.model import normal_percentiles, percentile_name
+from tessella.model import STAT_FIELDS, normal_percentiles, percentile_name
+from tessella.operators.percentiles import selected_percentiles
 
 NAN = float("nan")
 
@@ -120,3 +121,28 @@ def grouping_sets(rows: DataFrame, groupings: list[str], percentiles=(), always:
     names = [c for c in out.columns if c not in (*groupings, *always, "rolled")]
     return out.select(which.alias("grouping"), value.alias("group"), *always, *[F.col(f"`{c}`") for c in names])
 
+
+def with_selected(found: DataFrame, rows: DataFrame, keys: list[str], percentiles=(), ignore_nodata: bool = True, extra: tuple[str, ...] = (), limit: int = 100_000) -> DataFrame:
+    """found, statistics by keys without percentiles, with the exact percentiles (and the median, if extra has it) of rows
+    (keys, value, missing): by narrowing ranges, so that no group's values meet in one task."""
+    ps = normal_percentiles([*percentiles, *([50.0] if "median" in extra else [])])
+    if not ps:
+        return found
+    selected = selected_percentiles(rows.where(~F.col("missing")) if ignore_nodata else rows, keys, ps, limit)
+    right = selected.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = None
+    for k in keys:
+        one = F.col(k).eqNullSafe(F.col(f"_{k}"))
+        same = one if same is None else same & one
+    named = {percentile_name(p): F.col(f"`{percentile_name(p)}`") for p in normal_percentiles(percentiles)}
+    named |= {"median": F.col("p50")} if "median" in extra else {}
+    rest = [c for c in found.columns if c not in (*STAT_FIELDS, *keys, *extra)]
+    order = [c for c in (*rest, *keys, *STAT_FIELDS, *named) if c != "median"]
+    both = found.join(right, same, "left")
+    return both.select(*[named[c].alias(c) if c in named else F.col(f"`{c}`") for c in order], *[(named[x] if x in named else F.col(x)).alias(x) for x in extra])
+
+
+def stacked_groupings(rows: DataFrame, groupings: list[str], always: list[str]) -> DataFrame:
+    """A row for each row and grouping: grouping, group (as text), the always columns, value, missing."""
+    which = F.array(*[F.struct(F.lit(g).alias("grouping"), F.col(g).cast("string").alias("group")) for g in groupings])
+    return rows.select(F.explode(which).alias("g"), *always, "value", "missing").select("g.grouping", "g.group", *always, "value", "missing")

@@ -10,8 +10,11 @@ from __future__ import annotations
 
 import argparse
 import logging
+import threading
 from collections import defaultdict
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from datetime import datetime
 from pathlib import Path
@@ -20,18 +23,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions import geometry
-from tessella.model import STAT_FIELDS, percentile_name
+from tessella.model import STAT_FIELDS, Grid, percentile_name
 from tessella.operators import assign, report, stats
 from tessella.plans.config import JobConfig, JobSpec, parse_config
 from tessella.sources import geotiff, gpkg
 
 LOG = logging.getLogger(__name__)
+#: Up to so many headers are read on the driver; so many names and nodata values are broadcast.
+HEADERS_ON_DRIVER, BROADCAST_RASTERS = 32, 100_000
 
 
 @dataclass(frozen=True)
 class JobOptions:
     """columns: "compat" reports all statistics and the percentiles asked for, "requested" just the operations.
-    simplify: tolerance of zones in cell widths, 0 for none. on_duplicate_stem: "error" or "last"."""
+    simplify: tolerance of zones in cell widths, 0 for none. on_duplicate_stem: "error" or "last". in_task: rasters of real
+    values with more cells than this get their percentiles by narrowing ranges, not from a map of a group's values."""
 
     columns: str = "compat"
     overlap: str = "last"
@@ -42,6 +48,7 @@ class JobOptions:
     assume_crs: str | None = None
     approximate: int | None = None
     band: int = 1
+    in_task: int = 50_000_000
 
 
 def report_fields(job: JobSpec, options: JobOptions) -> list[str]:
@@ -63,13 +70,48 @@ def load_zones(spark: SparkSession, vector: str, layer: str, fields: list[str])
     return rows.select("fid", "geom", *[F.col(f"`{f}`") for f in fields])
 
 
+@dataclass(frozen=True)
+class RasterInfo:
+    name: str
+    path: str
+    grid: Grid
+    nodata: float | None
+    dtype: str
+    blocks: tuple[int, int]
+
+
+def describe(spark: SparkSession, paths: list[str], band: int) -> list[RasterInfo]:
+    """What plans need of each raster; many headers are read in tasks."""
+    if len(paths) <= HEADERS_ON_DRIVER:
+        found = [geotiff.open_raster(p, band) for p in paths]
+        return [RasterInfo(r.name, r.path, r.grid, r.nodata, r.dtype.strip("<>"), (r.block_width, r.block_height)) for r in found]
+    rows = {r["path"]: r for r in spark.read.format("tessella_geotiff_meta").option("band", band).load(";".join(paths)).collect()}  # a row a raster
+    return [RasterInfo(r["raster"], p, Grid(r["x0"], r["dx"], r["y0"], r["dy"], r["width"], r["height"], r["crs"]), r["nodata"], r["dtype"], (r["block_width"], r["block_height"])) for p in paths for r in [rows[p]]]
+
+
+class Shared:
+    """Tables that the reports of a bundle have in common: kept until released."""
+
+    def __init__(self):
+        self.tables: list[DataFrame] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.tables.append(df.persist())
+        return df
+
+    def release(self) -> None:
+        while self.tables:
+            self.tables.pop().unpersist()
+
+
 def _extent(edges: DataFrame) -> tuple[float, ...] | None:
     row = assign.layer_extent(edges).first()
     return None if row is None or row[0] is None else tuple(row)
 
 
-def owned_pixels(spark: SparkSession, zones: DataFrame, rasters: list[geotiff.Raster], source_crs: str, options: JobOptions) -> DataFrame:
+def owned_pixels(spark: SparkSession, zones: DataFrame, rasters: list[RasterInfo], source_crs: str, options: JobOptions, shared: Shared | None = None) -> DataFrame:
     """(raster, fid, value, missing) of all rasters; grids that are equal share one assignment."""
+    shared = shared or Shared()
     by_grid: dict = defaultdict(list)
     for r in rasters:
         by_grid[r.grid].append(r)
@@ -77,7 +119,7 @@ def owned_pixels(spark: SparkSession, zones: DataFrame, rasters: list[geotiff.Ra
     for grid, members in by_grid.items():
         if grid.crs and not source_crs and not options.assume_crs:
             raise ValueError("the vector layer has no reference system; name one with assume_crs")
-        edges = geometry.edges_of(zones, grid.crs or None, source_crs or options.assume_crs or None, options.simplify * abs(grid.dx) or None)
+        edges = shared.keep(geometry.edges_of(zones, grid.crs or None, source_crs or options.assume_crs or None, options.simplify * abs(grid.dx) or None))
         extent = _extent(edges)
         g = grid.bounds()
         if extent is None or extent[2] < g[0] or extent[0] > g[2] or extent[3] < g[1] or extent[1] > g[3]:
@@ -86,13 +128,13 @@ def owned_pixels(spark: SparkSession, zones: DataFrame, rasters: list[geotiff.Ra
         # blocks that no zone can meet are not read
         cols, rows = sorted(((extent[0] - grid.x0) / grid.dx, (extent[2] - grid.x0) / grid.dx)), sorted(((extent[1] - grid.y0) / grid.dy, (extent[3] - grid.y0) / grid.dy))
         window = (max(0, int(rows[0]) - 1), min(grid.height, int(rows[1]) + 2), max(0, int(cols[0]) - 1), min(grid.width, int(cols[1]) + 2))
-        reader = spark.read.format("tessella_geotiff").option("band", options.band).option("window", ",".join(map(str, window)))
-        owned = assign.owned_values(reader.load(";".join(r.path for r in members)), assign.strip_owners(edges, grid, options.overlap))
-        nodata = F.lit(None).cast("double")
-        for r in members:
-            if r.nodata is not None:
-                nodata = F.when(F.col("raster") == r.name, F.lit(r.nodata)).otherwise(nodata)
-        parts.append(stats.marked(owned, nodata, options.nan_is_nodata))
+        owners = shared.keep(assign.strip_spans(edges, grid, options.overlap))
+        for blocks in dict.fromkeys(r.blocks for r in members):  # files of one layout are planned without opening them
+            same = [r for r in members if r.blocks == blocks]
+            reader = spark.read.format("tessella_geotiff").option("band", options.band).option("window", ",".join(map(str, window)))
+            reader = reader.option("layout", f"{grid.width},{grid.height},{blocks[0]},{blocks[1]}")
+            owned = assign.owned_values(reader.load(";".join(r.path for r in same)), owners)
+            parts.append(_marked(owned, same, options.nan_is_nodata))
     if not parts:
         return spark.createDataFrame([], "raster string, fid bigint, value double, missing boolean")
     out = parts[0]
@@ -101,27 +143,49 @@ def owned_pixels(spark: SparkSession, zones: DataFrame, rasters: list[geotiff.Ra
     return out
 
 
-def run_bundle(spark: SparkSession, jobs: list[JobSpec], options: JobOptions = JobOptions()) -> dict[str, DataFrame]:
-    """The report of each job, by tag; all jobs have the same vector, layer and rasters."""
+def _marked(owned: DataFrame, rasters: list[RasterInfo], nan_is_nodata: bool) -> DataFrame:
+    """owned with missing, by the nodata value of each raster."""
+    known = {r.nodata for r in rasters}
+    if len(known) == 1:
+        return stats.marked(owned, known.pop(), nan_is_nodata)
+    table = owned.sparkSession.createDataFrame([(r.name, r.nodata) for r in rasters], "raster string, nodata double")
+    table = F.broadcast(table) if len(rasters) <= BROADCAST_RASTERS else table
+    return stats.marked(owned.join(table, "raster", "left"), F.col("nodata"), nan_is_nodata).drop("nodata")
+
+
+def _summarised(rows: DataFrame, fields: list[str], percentiles: list[float], extra: tuple[str, ...], cells: int, discrete: bool, options: JobOptions, shared: Shared) -> DataFrame:
+    """grouping, group, raster and statistics of rows (fields, raster, value, missing, and n if they are counted)."""
+    if discrete or options.approximate or cells <= options.in_task or not (percentiles or "median" in extra):
+        more = {"weighted": True} if discrete else {"approximate": options.approximate}
+        return stats.grouping_sets(rows, fields, percentiles, always=["raster"], ignore_nodata=options.ignore_nodata, extra=extra, **more)
+    found = stats.grouping_sets(rows, fields, always=["raster"], ignore_nodata=options.ignore_nodata, extra=tuple(x for x in extra if x != "median"))
+    stacked = shared.keep(stats.stacked_groupings(rows, fields, ["raster"]))
+    return stats.with_selected(found, stacked, ["grouping", "group", "raster"], percentiles, options.ignore_nodata, extra)
+
+
+def run_bundle(spark: SparkSession, jobs: list[JobSpec], options: JobOptions = JobOptions(), shared: Shared | None = None) -> dict[str, DataFrame]:
+    """The report of each job, by tag; all jobs have the same vector, layer and rasters. Once the reports are read,
+    shared.release() gives back what they have in common."""
+    shared = shared or Shared()
     _register(spark)
     first = jobs[0]
     fields = list(dict.fromkeys(j.agg_field for j in jobs))
     paths = [str(p) for p in first.base_rasters]
     names = report.check_stems([Path(p).stem for p in paths], options.on_duplicate_stem)
-    rasters = list({r.name: r for r in (geotiff.open_raster(p, options.band) for p in paths)}.values())
+    rasters = list({r.name: r for r in describe(spark, paths, options.band)}.values())
     zones = load_zones(spark, str(first.agg_vector), first.agg_layer, fields)
     source = gpkg.layer_crs(str(first.agg_vector), first.agg_layer)
     percentiles = sorted({p for j in jobs for p in j.percentiles})
     extra = tuple(x for x in ("avg", "median", "total_count") if any(x in j.operations for j in jobs)) if options.columns == "requested" else ()
-    pixels = owned_pixels(spark, zones, rasters, source, options)
+    pixels = owned_pixels(spark, zones, rasters, source, options, shared)
     # small integers: count each zone's values before anything else moves
-    discrete = options.approximate is None and all(r.dtype.strip("<>") in ("u1", "i1", "u2", "i2") for r in rasters)
+    discrete = options.approximate is None and all(r.dtype in ("u1", "i1", "u2", "i2") for r in rasters)
     if discrete:
         pixels = stats.counted(pixels, ["raster", "fid"])
     rows = pixels.join(zones.select("fid", *[F.col(f"`{f}`").alias(f"field_{k}") for k, f in enumerate(fields)]), "fid")
     keys = [f"field_{k}" for k in range(len(fields))]
-    more = {"weighted": True} if discrete else {"approximate": options.approximate}
-    found = stats.grouping_sets(rows, keys, percentiles, always=["raster"], ignore_nodata=options.ignore_nodata, extra=extra, **more).persist()
+    cells = sum(r.grid.width * r.grid.height for r in rasters)
+    found = shared.keep(_summarised(rows, keys, percentiles, extra, cells, discrete, options, shared))
     out = {}
     for j in jobs:
         mine = found.where(F.col("grouping") == keys[fields.index(j.agg_field)]).drop("grouping")
@@ -142,12 +206,14 @@ def raster_statistics(
     layer = gpkg.resolve_layer(vector, layer)
     if field not in gpkg.fields(vector, layer):
         raise ValueError(f"layer {layer!r} has no field {field!r}")
-    one = geotiff.open_raster(raster, options.band)
+    one, shared = describe(spark, [raster], options.band)[0], Shared()
     zones = load_zones(spark, vector, layer, [field]).withColumnRenamed(field, "group")
     options = replace(options, overlap="all" if polygons_might_overlap else "last")
     pixels = owned_pixels(spark, zones, [one], gpkg.layer_crs(vector, layer), options)
     rows = pixels.join(zones.select("fid", "group"), "fid")
-    found = stats.summarise(rows, ["group", "raster"], percentiles, ignore_nodata=options.ignore_nodata, approximate=options.approximate)
+    keys, large = ["group", "raster"], one.grid.width * one.grid.height > options.in_task and options.approximate is None
+    found = stats.summarise(rows, keys, () if large else percentiles, ignore_nodata=options.ignore_nodata, approximate=options.approximate)
+    found = stats.with_selected(found, rows, keys, percentiles, options.ignore_nodata) if large else found
     return stats.filled(found, stats.complete_cube(zones, [one.name]), ["group", "raster"])
 
 
@@ -167,19 +233,42 @@ def stamped(path: Path, now: datetime) -> Path:
     return path.with_name(f"{path.stem}_{now:%Y_%m_%d_%H_%M_%S}{path.suffix}")
 
 
+@contextmanager
+def progress(spark: SparkSession, every: float = 10.0) -> Iterator[None]:
+    """Says in the log, again and again, how many tasks of the stages under way are done."""
+    tracker, over = spark.sparkContext.statusTracker(), threading.Event()
+
+    def report_stages() -> None:
+        while not over.wait(every):
+            for info in filter(None, map(tracker.getStageInfo, tracker.getActiveStageIds())):
+                LOG.info("stage %d: %d of %d tasks done, %d failed", info.stageId, info.numCompletedTasks, info.numTasks, info.numFailedTasks)
+
+    thread = threading.Thread(target=report_stages, daemon=True)
+    thread.start()
+    try:
+        yield
+    finally:
+        over.set()
+        thread.join()
+
+
 def run_config(spark: SparkSession, config: JobConfig, options: JobOptions = JobOptions(), now: datetime | None = None) -> dict[str, Path]:
     """Run all jobs; the paths of their reports by tag. One time stamps all reports of a run."""
     now, written = now or datetime.now(), {}
 
     def run(jobs: list[JobSpec]) -> None:
-        for tag, table in run_bundle(spark, jobs, options).items():
-            path = stamped(next(j.output_csv for j in jobs if j.tag == tag), now)
-            report.write_csv(table, str(path))
-            written[tag] = path
-            LOG.info("%s: %s", tag, path)
+        shared = Shared()
+        try:
+            for tag, table in run_bundle(spark, jobs, options, shared).items():
+                path = stamped(next(j.output_csv for j in jobs if j.tag == tag), now)
+                report.write_csv(table, str(path))
+                written[tag] = path
+                LOG.info("%s: %s (%d of %d reports)", tag, path, len(written), len(config.jobs))
+        finally:
+            shared.release()
 
     groups = bundles(config.jobs)
-    with ThreadPoolExecutor(max_workers=min(8, len(groups)) or 1) as pool:
+    with progress(spark), ThreadPoolExecutor(max_workers=min(8, len(groups)) or 1) as pool:
         for done in [pool.submit(run, g) for g in groups]:
             done.result()
     return {j.tag: written[j.tag] for j in config.jobs}

@@ -9,7 +9,9 @@ Reads classic and BigTIFF, either byte order, strips and tiles, 8 to 64 bit inte
 and LZW, horizontal and floating-point predictors, chunky and planar bands, the GDAL_NODATA tag and EPSG geokeys. Anything
 else is an error that names it. A partition is a run of blocks, so a task decodes BLOCK_PIXELS pixels at most or a block.
 
-Option window ("row_lo,row_hi,col_lo,col_hi", half open): blocks outside it are never read.
+Option window ("row_lo,row_hi,col_lo,col_hi", half open): blocks outside it are never read. Option layout
+("width,height,block width,block height" for all files): planning then opens no file; without it headers are read by
+several threads.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from pathlib import PurePath
 
@@ -28,7 +31,7 @@ from tessella.model import TILE, Grid
 
 BLOCK_PIXELS = 1 << 22
 STRIP_SCHEMA = "raster string, row int, tile int, values array<double>"
-META_SCHEMA = "raster string, path string, band int, x0 double, dx double, y0 double, dy double, width int, height int, crs string, nodata double, dtype string"
+META_SCHEMA = "raster string, path string, band int, x0 double, dx double, y0 double, dy double, width int, height int, crs string, nodata double, dtype string, block_width int, block_height int"
 #: TIFF field types: size and struct code.
 FIELDS = {1: (1, "B"), 2: (1, "s"), 3: (2, "H"), 4: (4, "I"), 6: (1, "b"), 7: (1, "s"), 8: (2, "h"), 9: (4, "i"), 11: (4, "f"), 12: (8, "d"), 16: (8, "Q"), 17: (8, "q"), 18: (8, "Q")}
 
@@ -136,22 +139,25 @@ def open_raster(path: str, band: int = 1) -> Raster:
     )
 
 
+#: How many codes of each width follow a clear code at most: the table has 258 entries then, and widths change one early.
+LZW_RUNS = ((9, 254), (10, 512), (11, 1024), (12, 1 << 30))
+
+
 def lzw_decode(data: bytes) -> bytes:
-    """TIFF's LZW: codes of 9 to 12 bits, the most significant bit first, widths change one code early."""
-    out = bytearray()
-    table: list[bytes] = []
-    width, held, bits, last = 9, 0, 0, None
-    for byte in data:
-        held, bits = held << 8 | byte, bits + 8
-        while bits >= width:
-            bits -= width
-            code = held >> bits
-            held &= (1 << bits) - 1
-            if code == 256:
-                table, width, last = [bytes([k]) for k in range(256)] + [b"", b""], 9, None
-                continue
-            if code == 257:
-                return bytes(out)
+    """TIFF's LZW: codes of 9 to 12 bits, the most significant bit first, widths change one code early. Codes of one width
+    are cut out all at once."""
+    bits = np.unpackbits(np.frombuffer(data, np.uint8))
+    out: list[bytes] = []
+    at, fresh = 0, [bytes([k]) for k in range(256)] + [b"", b""]
+    table, last, runs = fresh.copy(), None, iter(LZW_RUNS)
+    width, left = next(runs)
+    while at + width <= len(bits):
+        n = min(left, (len(bits) - at) // width, 4096)
+        codes = bits[at : at + n * width].reshape(n, width) @ (1 << np.arange(width - 1, -1, -1))
+        marks = np.flatnonzero((codes == 256) | (codes == 257))
+        mark = int(codes[marks[0]]) if len(marks) else 0
+        part = codes[: marks[0]] if mark else codes
+        for code in part.tolist():
             if last is None:
                 entry = table[code]
             else:
@@ -159,10 +165,18 @@ def lzw_decode(data: bytes) -> bytes:
                     raise ValueError("broken LZW data")
                 entry = table[code] if code < len(table) else last + last[:1]
                 table.append(last + entry[:1])
-                width = 12 if len(table) >= 2047 else 11 if len(table) >= 1023 else 10 if len(table) >= 511 else 9
-            out += entry
+            out.append(entry)
             last = entry
-    return bytes(out)
+        if mark == 257:
+            break
+        at += (len(part) + bool(mark)) * width
+        left -= len(part)
+        if mark:
+            table, last, runs = fresh.copy(), None, iter(LZW_RUNS)
+            width, left = next(runs)
+        elif not left:
+            width, left = next(runs)
+    return b"".join(out)
 
 
 def decode_block(raster: Raster, data: bytes, height: int) -> np.ndarray:
@@ -191,19 +205,22 @@ class _Blocks(InputPartition):
 
 
 class GeoTiffReader(DataSourceReader):
-    def __init__(self, paths: list[str], band: int, window: tuple[int, int, int, int] | None):
-        self.paths, self.band, self.window = paths, band, window
+    def __init__(self, paths: list[str], band: int, window: tuple[int, int, int, int] | None, layout: tuple[int, int, int, int] | None = None):
+        self.paths, self.band, self.window, self.layout = paths, band, window, layout
+
+    def _layout(self, path: str) -> tuple[int, int, int, int]:
+        r = open_raster(path, self.band)
+        return r.grid.width, r.grid.height, r.block_width, r.block_height
 
     def partitions(self) -> list[InputPartition]:
         out = []
-        for path in self.paths:
-            r = open_raster(path, self.band)
-            w = self.window or (0, r.grid.height, 0, r.grid.width)
-            wanted = [
-                k for k in range(r.across * r.down)
-                if (y := k // r.across * r.block_height) < w[1] and y + r.block_height > w[0] and (x := k % r.across * r.block_width) < w[3] and x + r.block_width > w[2]
-            ]
-            each = max(1, BLOCK_PIXELS // (r.block_width * r.block_height))
+        with ThreadPoolExecutor(16) as pool:
+            layouts = [self.layout] * len(self.paths) if self.layout else list(pool.map(self._layout, self.paths))
+        for path, (width, height, block_width, block_height) in zip(self.paths, layouts, strict=True):
+            across, down, w = -(-width // block_width), -(-height // block_height), self.window or (0, height, 0, width)
+            rows = range(max(0, w[0] // block_height), min(down, -(-w[1] // block_height)))
+            wanted = [y * across + x for y in rows for x in range(max(0, w[2] // block_width), min(across, -(-w[3] // block_width)))]
+            each = max(1, BLOCK_PIXELS // (block_width * block_height))
             out += [_Blocks(path, wanted[k : k + each]) for k in range(0, len(wanted), each)]
         return out or [_Blocks("", [])]
 
@@ -256,7 +273,8 @@ class GeoTiffSource(DataSource):
 
     def reader(self, schema) -> DataSourceReader:
         window = self.options.get("window")
-        return GeoTiffReader(_paths(self.options), int(self.options.get("band", 1)), tuple(map(int, window.split(","))) if window else None)
+        numbers = lambda x: tuple(map(int, x.split(","))) if x else None
+        return GeoTiffReader(_paths(self.options), int(self.options.get("band", 1)), numbers(window), numbers(self.options.get("layout")))
 
 
 class _MetaReader(DataSourceReader):
@@ -270,7 +288,7 @@ class _MetaReader(DataSourceReader):
         if partition.path:
             r = open_raster(partition.path, self.band)
             g = r.grid
-            yield (r.name, r.path, r.band, float(g.x0), float(g.dx), float(g.y0), float(g.dy), g.width, g.height, g.crs, r.nodata, r.dtype.strip("<>"))
+            yield (r.name, r.path, r.band, float(g.x0), float(g.dx), float(g.y0), float(g.dy), g.width, g.height, g.crs, r.nodata, r.dtype.strip("<>"), r.block_width, r.block_height)
 
 
 class GeoTiffMetaSource(DataSource):

@@ -100,6 +100,30 @@ def test_small_integers_are_counted_first(spark, project):
             assert np.allclose([got[g][f"{k}_first"] for k in ("min", "max", "sum", "stdev", "p5", "p95")], [min(v), max(v), sum(v), np.std(v), *np.percentile(v, [5, 95])])
 
 
+def test_percentiles_by_ranges_and_headers_in_tasks(spark, project, monkeypatch):
+    """The same reports where rasters count as large, headers are read in tasks, and nothing is left in memory."""
+    path, _ = project
+    cfg = config.parse_config(path / "world.yml")
+    usual = jobs.run_config(spark, cfg, jobs.JobOptions(simplify=0.0), datetime(2020, 1, 2, 3, 4, 5))
+    monkeypatch.setattr(jobs, "HEADERS_ON_DRIVER", 0)
+    large = jobs.run_config(spark, cfg, jobs.JobOptions(simplify=0.0, in_task=0), datetime(2021, 1, 2, 3, 4, 5))
+    for tag in usual:
+        a, b = ([x.split(",") for x in p.read_text().split("\n")] for p in (usual[tag], large[tag]))
+        assert a[0] == b[0] and len(a) == len(b)
+        for x, y in zip(a[1:], b[1:], strict=True):
+            assert x[0] == y[0] and all(p == q or np.isclose(float(p), float(q)) for p, q in zip(x[1:], y[1:], strict=True))
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for o in (jobs.JobOptions(columns="requested", simplify=0.0), jobs.JobOptions(columns="requested", simplify=0.0, in_task=0)):
+        shared = jobs.Shared()
+        table = jobs.run_bundle(spark, [cfg.jobs[1]], o, shared)["by_code"]
+        assert table.columns[:2] == ["base_raster", "median_1"] and [round(r["median_1"], 6) for r in table.collect()][0] == np.median(expected(GRID, VALUES, lambda s: s[2], 7)[0][1])
+        shared.release()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+    args = (str(path / "a/second.tif"), str(path / "z.gpkg"), "code")
+    one, two = (jobs.as_dict(jobs.raster_statistics(spark, *args, percentiles=(5, 50), options=jobs.JobOptions(simplify=0.0, in_task=n))) for n in (10**9, 0))
+    assert list(one[1]) == list(two[1]) and all(one[g][k] == two[g][k] or np.isclose(one[g][k], two[g][k]) for g in one for k in one[g])
+
+
 def test_reprojected_zones(spark, project):
     path, _ = project
     from tessella.functions.geometry import transformer
