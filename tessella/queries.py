@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.functions.scalar import is_nodata
+from tessella.functions.scalar import file_stem, is_nodata
 from tessella.model import Grid, percentile_name
 from tessella.operators import assign, report, stats
 from tessella.operators.percentiles import selected_percentiles
@@ -138,7 +138,7 @@ def zonal_strip_stats(spark: SparkSession, d: str) -> DataFrame:
     px = grid_pixels(spark, d)
     strips = px.groupBy("raster", "row", F.floor(F.col("col") / 16).cast("int").alias("tile")).agg(F.map_from_entries(F.collect_list(F.struct(F.col("col") % 16, "value"))).alias("m"))
     strips = strips.select("raster", "row", "tile", F.transform(F.sequence(F.lit(0), F.lit(15)), lambda k: F.try_element_at("m", k)).alias("values"))
-    owned = assign.owned_values(strips, assign.strip_owners(triangles(spark, d), grid_of(spark, d), fallback=False, tile=16))
+    owned = assign.owned_values(strips, assign.strip_spans(triangles(spark, d), grid_of(spark, d), fallback=False, tile=16))
     zones = zones_of(spark, d)
     out = zonal.finish(zones, owned.join(zones, "fid"), ["price"], NODATA, (5, 50, 95), True)
     return rounded(out.withColumnRenamed("group", "grp"))
@@ -186,11 +186,19 @@ def zonal_small_zone_fallback(spark: SparkSession, d: str) -> DataFrame:
     return rounded(zonal.by_feature(shaped(table(spark, d, "nation"), SPECK), grid_pixels(spark, d), grid_of(spark, d), NODATA))
 
 
-@query(f"WITH {sql_zones(TRIANGLE)}, {SQL_WINDOW.strip()} SELECT fid, minx, miny, maxx, maxy FROM box WHERE fid NOT IN (SELECT fid FROM inside)")
+#: Boxes further apart than the grid is wide: the zones of some lie outside it.
+WIDE_X, WIDE_Y = "(n_nationkey % 5) * 17 - 4", "floor(n_nationkey / 5) * 11 - 3"
+
+
+def wide_triangles(spark: SparkSession, d: str) -> DataFrame:
+    return shaped(table(spark, d, "nation"), TRIANGLE, F.col("n_nationkey") % 5 * 17.0 - 4, F.floor(F.col("n_nationkey") / 5) * 11.0 - 3)
+
+
+@query(f"WITH {sql_zones(TRIANGLE, WIDE_X, WIDE_Y)}, {SQL_WINDOW.strip()} SELECT fid, minx, miny, maxx, maxy FROM box WHERE fid NOT IN (SELECT fid FROM inside)")
 def zonal_unset_anti(spark: SparkSession, d: str) -> DataFrame:
-    grid = grid_of(spark, d)
-    cells = assign.cells_of_spans(assign.spans(triangles(spark, d), grid)).join(grid_pixels(spark, d).select("row", "col"), ["row", "col"], "left_semi")
-    return assign.unset_zones(triangles(spark, d), cells)
+    grid, edges = grid_of(spark, d), wide_triangles(spark, d)
+    cells = assign.cells_of_spans(assign.spans(edges, grid)).join(grid_pixels(spark, d).select("row", "col"), ["row", "col"], "left_semi")
+    return assign.unset_zones(edges, cells)
 
 
 FAR_X = "(n_nationkey % 5) * 10 + 1000"
@@ -427,13 +435,25 @@ def grid_align_join(spark: SparkSession, d: str) -> DataFrame:
     return a.join(b, ["row", "col"]).withColumn("product", F.round(F.col("price") * F.col("size"), 4))
 
 
-WIDE_X, WIDE_Y = "(n_nationkey % 5) * 17 - 4", "floor(n_nationkey / 5) * 11 - 3"
-
-
 @query(f"WITH {sql_zones(TRIANGLE, WIDE_X, WIDE_Y)}, {SQL_WINDOW.strip()} SELECT fid, col_lo, col_hi, row_lo, row_hi FROM win WHERE col_lo < col_hi AND row_lo < row_hi")
 def window_clip(spark: SparkSession, d: str) -> DataFrame:
-    edges = shaped(table(spark, d, "nation"), TRIANGLE, F.col("n_nationkey") % 5 * 17.0 - 4, F.floor(F.col("n_nationkey") / 5) * 11.0 - 3)
-    return assign.window_of_box(assign.envelopes(edges), grid_of(spark, d)).select("fid", "col_lo", "col_hi", "row_lo", "row_hi")
+    return assign.window_of_box(assign.envelopes(wide_triangles(spark, d)), grid_of(spark, d)).select("fid", "col_lo", "col_hi", "row_lo", "row_hi")
+
+
+@query("""
+    SELECT CAST(floor(p_partkey / 50) AS INT) AS row, CAST(p_partkey % 50 AS INT) AS col, round(-180 + (p_partkey % 50 + 0.5) * 0.25, 6) AS cx, round(90 - (floor(p_partkey / 50) + 0.5) * 0.5, 6) AS cy FROM part""")
+def pixel_centres(spark: SparkSession, d: str) -> DataFrame:
+    """Cells of a north-up grid in world coordinates."""
+    cells = zonal.pixel_centres(grid_pixels(spark, d), Grid(-180.0, 0.25, 90.0, -0.5, WIDTH, 1000))
+    return cells.select("row", "col", F.round("cx", 6).alias("cx"), F.round("cy", 6).alias("cy"))
+
+
+@query(r"""
+    SELECT p_partkey, regexp_extract(parse_filename('/data/' || replace(p_name, ' ', '/') || '.' || p_brand || '.tif'), '^(.*)\.[^.]*$', 1) AS stem FROM part""")
+def file_stems(spark: SparkSession, d: str) -> DataFrame:
+    """Names of rasters from their paths."""
+    path = F.concat(F.lit("/data/"), F.translate("p_name", " ", "/"), F.lit("."), "p_brand", F.lit(".tif"))
+    return table(spark, d, "part").select("p_partkey", file_stem(path).alias("stem"))
 
 
 @query(f"SELECT raster, CAST(count(*) AS BIGINT) AS count, round(sum(value), 4) AS sum FROM ({SQL_STACKED}) GROUP BY raster")
