@@ -6,18 +6,21 @@ of that label, so the distance a label travels doubles; each round is written to
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.llm import storage
 
 
-def components(pairs: DataFrame) -> DataFrame:
-    """(node, label) for every node that a pair (a, b) names; label is the smallest node of its component. A written table."""
+def components(pairs: DataFrame, passes: int | None = None) -> DataFrame:
+    """(node, label) for every node that a pair (a, b) names; label is the smallest node of its component. A written table.
+    After so many passes, if given, labels may be larger: nodes of one label are linked, but not the other way round."""
     both = pairs.select(F.col("a").alias("node"), F.col("b").alias("to")).unionByName(pairs.select(F.col("b").alias("node"), F.col("a").alias("to"))).where("node <> to")
     links = storage.written(both.distinct(), "links")
     labels = storage.written(links.groupBy("node").agg(F.min("to").alias("label")).select("node", F.least("node", "label").alias("label")), "labels")
-    while True:
+    for done in count(1):
         seen = links.join(labels.select(F.col("node").alias("to"), "label"), "to").groupBy("node").agg(F.min("label").alias("near"))
         lower = labels.select("node", "label").join(seen, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         roots = lower.select(F.col("node").alias("root"), F.col("label").alias("above"))
@@ -25,6 +28,6 @@ def components(pairs: DataFrame) -> DataFrame:
         moved = storage.written(jumped, "labels")
         storage.drop(labels)
         labels = moved
-        if moved.where("label <> was").isEmpty():
+        if done == passes or moved.where("label <> was").isEmpty():
             storage.drop(links)
             return labels
