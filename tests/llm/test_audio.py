@@ -87,8 +87,8 @@ def test_documents(spark):
     t = audio.as_tensors(rows)
     assert isinstance(t["mels"].type, pa.FixedShapeTensorType) and t["mels"].type.shape == [audio.FRAMES, audio.MELS]
     stored = np.concatenate([c.to_numpy_ndarray() for c in t["mels"].chunks]).reshape(-1, audio.MELS)
-    assert np.allclose(stored[: len(mels)], mels, atol=1e-3) and np.allclose(stored[len(mels) :], np.log(audio.FLOOR))
-    values = np.round(stored.astype(np.float64) * 100).astype("<i4").tobytes()
+    assert np.allclose(stored[: len(mels)], mels, atol=0.6 / audio.GRAIN) and np.allclose(stored[len(mels) :], np.log(audio.FLOOR), atol=0.6 / audio.GRAIN)
+    values = np.round(stored.astype(np.float64) * audio.GRAIN).astype("<i4").tobytes()
     assert got[4].feature.endswith(hashlib.sha256(values).hexdigest()[:16])
     assert t["begin_s"].to_pylist()[1:] == t["end_s"].to_pylist()[:-1] and np.isclose(t["end_s"][-1].as_py(), len(mels) * audio.STEP)
     assert np.allclose([(x.begin_s, x.end_s) for x in found.where("doc_id = 4").first().segments], segs)
