@@ -10,6 +10,9 @@ that look into such a cell are linked another exact way: two fingerprints differ
 radius one around them meet, so each is dealt to the 65 values of its ball, and each value's members (65 at most) are
 linked to the smallest. Every pair that a hot cell holds is linked so, directly or through that member.
 
+Joins of tables that grow with the documents are sort-merge joins by hint: Spark guesses what an exploded table weighs from
+the file below it, and would gather millions of entries on the driver to broadcast them.
+
 Equal fingerprints are one node, however many documents have them. Components come from labels that shrink along links
 and jump over each other, each round written to the shared folder.
 
@@ -91,7 +94,7 @@ def links(nodes: DataFrame, hot: int = HOT) -> DataFrame:
     ball = F.transform(_flips(range(32)), lambda m: F.col("cell").bitwiseXOR(m))
     looks = entries.select("fp", F.explode(F.concat(F.array("cell"), ball)).alias("cell"))
     near = F.col("other").isNull() | ((F.col("fp") < F.col("other")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= 2))
-    found = storage.written(looks.join(held, "cell").where(near).select("fp", "other"), "simhash-matches")
+    found = storage.written(looks.join(held.hint("merge"), "cell").where(near).select("fp", "other"), "simhash-matches")
     pairs = found.where(F.col("other").isNotNull()).select(F.col("fp").alias("a"), F.col("other").alias("b"))
     at_hot = found.where(F.col("other").isNull()).select("fp").distinct()
     around = at_hot.select("fp", F.explode(F.concat(F.array(F.lit(0).cast("bigint")), _flips(range(64)))).alias("m")).select("fp", F.col("fp").bitwiseXOR(F.col("m")).alias("middle"))
@@ -108,9 +111,9 @@ def near_duplicates(docs: DataFrame, width: int = 3, hot: int = HOT) -> DataFram
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     pairs = links(nodes.select("fp"), hot)
     labels = components(pairs)
-    named = nodes.join(labels.select("node", "label"), F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
+    named = nodes.join(labels.select("node", "label").hint("merge"), F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
     named = storage.written(named, "simhash-components")
     storage.drop(pairs, labels)
     smallest = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_print = named.join(smallest, "label").select("fp", "component_id")
-    return prints.join(of_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    of_print = named.join(smallest.hint("merge"), "label").select("fp", "component_id")
+    return prints.join(of_print.hint("merge"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

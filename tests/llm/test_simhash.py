@@ -76,6 +76,20 @@ def test_components(spark):
     assert got == dict.fromkeys(range(41), 0) | {100: 100, 101: 100, 103: 100}
 
 
+def test_nothing_that_grows_is_broadcast(spark, monkeypatch):
+    """Small files may stand for large tables (33 entries a look, labels that compress), so no join may trust their size."""
+    plans, write = [], simhash.storage.written
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(simhash.storage, "written", lambda df, *a, **b: plans.append(plan(df)) or write(df, *a, **b))
+    monkeypatch.setattr(components, "SENT", 1, raising=False)
+    r = random.Random(6)
+    base = [" ".join(r.choice("abcdefgh") for _ in range(300)) for _ in range(6)]
+    rows = [(k, f"{base[k % 6]} w{k % 50}") for k in range(200)]
+    plans.append(plan(simhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), hot=2)))
+    joins = [x for p in plans for x in p.splitlines() if "BroadcastHashJoin" in x and "LeftAnti" not in x]  # the crowded cells: a 64th
+    assert joins == [] and sum(p.count("SortMergeJoin") for p in plans) >= 7
+
+
 def test_documents(spark):
     base = "one two three four five six seven eight nine ten " * 30
     data = [(5, base), (3, base + "eleven"), (9, "quite another text about other things " * 9), (4, None), (2, ""), (5, base), (None, "   "), (8, base.upper())]
