@@ -33,7 +33,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")).alias("first")
     kept = found.groupBy("component").agg(first).select(F.col("first.doc_id").alias("_kept_id"), F.col("first.text_key").alias("_kept_text"))
     named = docs.withColumns({"_near_id": F.col("doc_id").cast("bigint"), "_near_text": near_copies.text_key()})
-    out = named.join(kept, F.col("_near_id").eqNullSafe(F.col("_kept_id")) & (F.col("_near_text") == F.col("_kept_text")), "left_semi")
+    out = named.join(kept.hint("merge"), F.col("_near_id").eqNullSafe(F.col("_kept_id")) & (F.col("_near_text") == F.col("_kept_text")), "left_semi")
     if not found.groupBy("doc_id", "text_key").count().where("count > 1").isEmpty():  # repeated rows: one of them
         out = out.dropDuplicates(["_near_id", "_near_text"])
     return out.select(*docs.columns)

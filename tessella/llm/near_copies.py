@@ -16,6 +16,9 @@ up to SMALL are all compared; in a larger cell each of ROUNDS rounds compares al
 by then (PASSES of labels along the links find most that are) are not compared again. Work grows with the entries. Members of large cells
 are linked through those drawn: a link is missed only where no chain of them leads (the README has the share).
 
+Joins of tables that grow with the documents are sort-merge joins by hint, whatever Spark takes their files to weigh; only the
+drawn members and the open cells, at most one row for each SMALL entries, may be broadcast.
+
 Cases: null and empty texts have the same, empty, set; fewer words than a shingle give one shingle of them all; repeated
 rows are documents like any other; null doc_id: such rows get a component, like others; an empty table gives no rows.
 """
@@ -152,7 +155,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     place = F.pmod(F.xxhash64("text_key"), F.lit(PLACES)).cast("int").alias("place")
     places = F.broadcast(wanted.select(place).distinct())  # at most PLACES numbers
     texts = docs.select(text_key().alias("text_key"), "text").withColumn("place", place).join(places, "place", "left_semi")
-    texts = texts.select("text_key", "text").join(wanted, "text_key").groupBy("node").agg(F.first("text").alias("text"))
+    texts = texts.select("text_key", "text").join(wanted.hint("merge"), "text_key").groupBy("node").agg(F.first("text").alias("text"))
     return storage.in_batches(texts).mapInArrow(storage.trimmed(read), "node bigint, n int, sketch array<bigint>, elements binary")
 
 
@@ -162,7 +165,7 @@ def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     short, xor = F.least(F.size("of_a"), F.size("of_b")), lambda x, y: x.bitwiseXOR(y)
     folded = [F.when(F.size(c) == short, F.col(c)).otherwise(F.zip_with(F.slice(c, F.lit(1), short), F.slice(c, short + 1, short), xor)) for c in ("of_a", "of_b")]
     bits = F.aggregate(F.zip_with(*folded, xor), F.lit(0), lambda x, y: x + F.bit_count(y))
-    both = pairs.join(two, "b").join(one, "a").where("5 * n_a >= 4 * n_b and 5 * n_b >= 4 * n_a")
+    both = pairs.join(two.hint("merge"), "b").join(one.hint("merge"), "a").where("5 * n_a >= 4 * n_b and 5 * n_b >= 4 * n_a")
     return both.where(9 * bits <= F.col("n_a") + F.col("n_b")).select("a", "b")
 
 
@@ -175,17 +178,17 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     one, two = (sets.select(F.col("node").alias(c), F.col("elements").alias(f"of_{c}")) for c in "ab")
-    return storage.in_batches(pairs.join(two, "b").join(one, "a").select("a", "b", "of_a", "of_b")).mapInArrow(storage.trimmed(run), "a bigint, b bigint")
+    return storage.in_batches(pairs.join(two.hint("merge"), "b").join(one.hint("merge"), "a").select("a", "b", "of_a", "of_b")).mapInArrow(storage.trimmed(run), "a bigint, b bigint")
 
 
 def _entries(nodes: DataFrame) -> DataFrame:
     """(cell, node, n) of each distinct set that shares a cell: its bands, its fingerprint, and each link that multi-index
     hashing gives it; n: the members of the cell."""
     pairs = simhash.links(nodes.select("fp").distinct())
-    met = pairs.select(F.xxhash64("a", "b").alias("cell"), F.explode(F.array("a", "b")).alias("fp")).join(nodes.select("fp", "node"), "fp").select("cell", "node")
+    met = pairs.select(F.xxhash64("a", "b").alias("cell"), F.explode(F.array("a", "b")).alias("fp")).join(nodes.select("fp", "node").hint("merge"), "fp").select("cell", "node")
     entries = nodes.select(F.explode(F.concat("cells", F.array(F.xxhash64("fp")))).alias("cell"), "node").unionByName(met)
     several = entries.groupBy("cell").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("cell", "n")
-    out = storage.written(entries.join(several, "cell").select("cell", "node", "n"), "copies-cells")
+    out = storage.written(entries.join(several.hint("merge"), "cell").select("cell", "node", "n"), "copies-cells")
     storage.drop(pairs)
     return out
 
@@ -197,9 +200,9 @@ def linked(docs: DataFrame, nodes: DataFrame, rounds: int = ROUNDS, small: int =
     """
     entries = _entries(nodes)
     met = entries.select("node").distinct()
-    sets = storage.written(_sets(docs, nodes.select("node", "text_key").join(met, "node")), "copies-sets")
+    sets = storage.written(_sets(docs, nodes.select("node", "text_key").join(met.hint("merge"), "node")), "copies-sets")
     little = entries.where(F.col("n") <= small)
-    pairs = little.alias("x").join(little.alias("y"), F.expr("x.cell = y.cell and x.node < y.node")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    pairs = little.alias("x").join(little.alias("y").hint("merge"), F.expr("x.cell = y.cell and x.node < y.node")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     large = entries.where(F.col("n") > small).select("cell", "node", F.col("node").alias("label"))
     found, used = [], [entries, sets]
     for k in range(rounds):
@@ -215,7 +218,7 @@ def linked(docs: DataFrame, nodes: DataFrame, rounds: int = ROUNDS, small: int =
         labels = components(links, None if last else PASSES)
         if last:
             break
-        now = large.select("cell", "node").join(labels.select("node", "label"), "node", "left").select("cell", "node", F.coalesce("label", "node").alias("label"))
+        now = large.select("cell", "node").join(labels.select("node", "label").hint("merge"), "node", "left").select("cell", "node", F.coalesce("label", "node").alias("label"))
         now = storage.written(now, "copies-labelled")
         open_cells = now.groupBy("cell").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("cell")
         large = storage.written(now.join(open_cells, "cell", "left_semi"), "copies-cells")
@@ -230,7 +233,7 @@ def near_copies(docs: DataFrame, rounds: int = ROUNDS, small: int = SMALL) -> Da
     of = storage.written(prints(docs), "copies-prints")
     nodes = storage.written(of.groupBy("node").agg(F.min("text_key").alias("text_key"), F.min("fp").alias("fp"), F.first("cells").alias("cells")), "copies-nodes")
     labels = linked(docs, nodes, rounds, small)
-    named = of.select("doc_id", "text_key", "node").join(labels.select("node", "label"), "node", "left").select("doc_id", "text_key", F.coalesce("label", "node").alias("component"))
+    named = of.select("doc_id", "text_key", "node").join(labels.select("node", "label").hint("merge"), "node", "left").select("doc_id", "text_key", F.coalesce("label", "node").alias("component"))
     out = storage.written(named, "copies")
     storage.drop(of, nodes, labels)
     return out

@@ -1,9 +1,10 @@
 import random
+import re
 
 import pytest
 
 import corpus_pipeline
-from tessella.llm import near_copies, simhash
+from tessella.llm import components, near_copies, simhash
 
 
 def shingles(text):
@@ -56,6 +57,20 @@ def test_components_against_brute_force(spark, rounds, small):
         assert all(want[x] == want[k] for k, x in enumerate(got)) and len(set(got)) - len(set(want)) <= 0.1 * (len(texts) - len(set(want)))
 
 
+def test_nothing_that_grows_is_broadcast(spark, monkeypatch):
+    """Small files may stand for large tables, so no join may trust their size; places are bounded, open cells and leaders few."""
+    plans, write = [], near_copies.storage.written
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(near_copies.storage, "written", lambda df, *a, **b: plans.append(plan(df)) or write(df, *a, **b))
+    monkeypatch.setattr(components, "SENT", 1, raising=False)
+    found = near_copies.near_copies
+    monkeypatch.setattr(near_copies, "near_copies", lambda docs: found(docs, 2, 4))
+    plans.append(plan(corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(list(enumerate(texts_with_edits())), "doc_id bigint, text string"), "")))
+    few = re.compile(r"BroadcastHashJoin \[(cell|place)#.*(LeftAnti|LeftSemi|its#)")
+    joins = [x for p in plans for x in p.splitlines() if "BroadcastHashJoin" in x and not few.search(x)]
+    assert joins == [] and sum(p.count("SortMergeJoin") for p in plans) >= 10
+
+
 def test_the_stage_drops_texts_with_one_word_edited(spark):
     r = random.Random(9)
     base = " ".join(f"w{r.randrange(500)}" for _ in range(248))
