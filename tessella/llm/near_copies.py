@@ -1,20 +1,25 @@
 """Near copies: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, and what these link.
 
-Candidates come from two indexes, and every link is confirmed by counting both sets' common elements.
+Candidates come from three indexes, and every link is confirmed by counting both sets' common elements. Two find most links:
 
 * The multi-index hashing of `simhash`, over fingerprints of five-word shingles: all pairs within two bits.
 * Bands of minima. At similarity 0.8 fingerprints of 64 bits are some nine bits apart, further than small balls reach, so
   SimHash alone finds a few hundredths of such pairs. Each set is also entered under BANDS hashes of ROWS minima each;
   a pair of similarity s meets in one of them with probability 1 - (1 - s^ROWS)^BANDS: 0.9996 at 0.8, more above.
 
-Each distinct set is one node, however many documents have it. A node is entered under a fixed number of cells, whatever
-its length, so entries grow with the documents and a passage that many documents share makes no cell.
+The third leaves none out. Of two sets that similar each holds at least four fifths of the other's elements, so under any
+common order of the elements their first n - ceil(0.8 n) + 1 (of n) share one. Each set is entered under those, and all pairs
+in a cell that the first two did not link, directly or by others, are compared. The order puts elements last that a sample of
+documents holds often; the sample changes only the work, never the result.
 
-Groups: only components are wanted, and a group of thousands would make pairs with its square. So the members of cells of
-up to SMALL are all compared; in a larger cell each of ROUNDS rounds compares all members with one of another component
-(drawn anew for each cell and round, so a member meets as many as it has large cells), and members that are known to be linked
-by then (PASSES of labels along the links find most that are) are not compared again. Work grows with the entries. Members of large cells
-are linked through those drawn: a link is missed only where no chain of them leads (the README has the share).
+Each distinct set is one node, however many documents have it.
+
+Groups: only components are wanted, and a group of thousands would make pairs with its square. So of the first two indexes the
+members of cells of up to SMALL are all compared; in a larger cell each of ROUNDS rounds compares all members with one of another
+component (drawn anew for each cell and round, so a member meets as many as it has large cells), and members that are known to
+be linked by then (PASSES of labels along the links find most that are) are not compared again. In the third, cells of one
+component are done; while the others hold more than FEW pairs a node, rounds compare with drawn members, then (after ROUNDS, or
+sooner) every pair of two components is compared.
 
 Joins of tables that grow with the documents are sort-merge joins by hint, whatever Spark takes their files to weigh; only the
 drawn members and the open cells, at most one row for each SMALL entries, may be broadcast.
@@ -30,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.llm import simhash, storage
@@ -38,7 +43,8 @@ from tessella.llm.components import components
 
 WIDTH = 5
 BANDS, ROWS = 20, 5
-ROUNDS, SMALL, PASSES = 3, 32, 2
+ROUNDS, SMALL, PASSES, FEW = 3, 32, 2, 20
+SAMPLE, OFTEN, LISTED = 10_000, 3, 50_000
 BLOCK = 1 << 16
 PLACES = 1 << 19
 _random = np.random.default_rng(WIDTH)
@@ -111,6 +117,15 @@ def bands(s: np.ndarray) -> np.ndarray:
     return (cells ^ (cells >> np.uint64(31))).view(np.int64)
 
 
+def first_elements(s: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """Of the elements in their common order (often ones last), as many from the front as similar sets cannot all lack."""
+    n = len(s)
+    if not n:
+        return s
+    last = often[np.minimum(np.searchsorted(often, s), len(often) - 1)] == s if len(often) else np.zeros(n, bool)
+    return np.concatenate([s[~last], s[last]])[: n - (4 * n + 4) // 5 + 1]
+
+
 def sketch(s: np.ndarray) -> np.ndarray:
     """Parities of the elements in 512 places, or in the next power of two from n: two sets differ in at least as many
     elements as their sketches in bits, also when the longer sketch is folded to the shorter."""
@@ -124,23 +139,39 @@ def text_key():
     return F.coalesce(F.md5("text"), F.lit(""))
 
 
-def prints(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, node (of the set), fp (its fingerprint), cells (its bands)."""
+def often_met(docs: DataFrame) -> np.ndarray:
+    """Shingles that several documents of a sample hold, ascending."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps, nodes, cells = [], [], []
+            yield pa.RecordBatch.from_arrays([pa.array([shingle_set(t.as_py()) for t in b.column(0)], pa.list_(pa.int64()))], ["s"])
+
+    some = docs.select("text").sample(min(1.0, SAMPLE / max(docs.count(), 1)), 7)
+    each = storage.in_batches(some).mapInArrow(storage.trimmed(run), "s array<bigint>").select(F.explode("s").alias("e"))
+    most = each.groupBy("e").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "e").limit(LISTED)
+    return np.sort(most.select("e").toArrow().column(0).to_numpy().astype(np.int64))
+
+
+def prints(docs: DataFrame, often: np.ndarray) -> DataFrame:
+    """doc_id, text_key, node (of the set), n (its size), fp (its fingerprint), cells (its bands), first (its first elements)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps, nodes, sizes, cells, first = [], [], [], [], []
             for t in b.column(2):
                 hashes = shingle_hashes(t.as_py())
                 s = distinct(hashes)
                 fps.append(simhash.fingerprint_of(hashes))
                 nodes.append(node_of(s))
+                sizes.append(len(s))
                 cells.append(bands(s))
-            of = [pa.array(nodes, pa.int64()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(cells, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *of], ["doc_id", "text_key", "node", "fp", "cells"])
+                first.append(first_elements(s, often))
+            longs = pa.list_(pa.int64())
+            of = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(cells, longs), pa.array(first, longs)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *of], ["doc_id", "text_key", "node", "n", "fp", "cells", "first"])
 
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key().alias("text_key"), "text")
-    return storage.in_batches(keyed).mapInArrow(storage.trimmed(run), "doc_id bigint, text_key string, node bigint, fp bigint, cells array<bigint>")
+    return storage.in_batches(keyed).mapInArrow(storage.trimmed(run), "doc_id bigint, text_key string, node bigint, n int, fp bigint, cells array<bigint>, first array<bigint>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -193,11 +224,31 @@ def _entries(nodes: DataFrame) -> DataFrame:
     return out
 
 
-def linked(docs: DataFrame, nodes: DataFrame, rounds: int = ROUNDS, small: int = SMALL) -> DataFrame:
-    """(node, label) for every node that is linked to another; label is the smallest of its component. A written table.
+def _drawn(cells: DataFrame, k: int) -> DataFrame:
+    """The pairs (a, b) of a cell's members with one that round k draws, if of another component."""
+    leaders = cells.groupBy("cell").agg(F.min(F.struct(F.xxhash64("label", "cell", F.lit(k)).alias("h"), F.col("label").alias("its"), F.col("node").alias("leader"))).alias("l"))
+    return cells.join(leaders.select("cell", "l.leader", "l.its"), "cell").where("label <> its").select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b"))
 
-    nodes: node, text_key, fp, cells; a row for each distinct set.
-    """
+
+def _still_open(cells: DataFrame, labels: DataFrame) -> DataFrame:
+    """The cells that hold several components, by new labels. A written table."""
+    now = cells.drop("label").join(labels.select("node", "label").hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node")).select(cells.columns)
+    now = storage.written(now, "copies-labelled")
+    open_cells = now.groupBy("cell").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("cell")
+    out = storage.written(now.join(open_cells, "cell", "left_semi"), "copies-cells")
+    storage.drop(now)
+    return out
+
+
+def _all(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for more in tables[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _linked_by_most(docs: DataFrame, nodes: DataFrame, rounds: int, small: int) -> tuple[list[DataFrame], DataFrame]:
+    """Similar pairs (a, b) that fingerprints and bands find, and the labels they give. Written tables."""
     entries = _entries(nodes)
     met = entries.select("node").distinct()
     sets = storage.written(_sets(docs, nodes.select("node", "text_key").join(met.hint("merge"), "node")), "copies-sets")
@@ -206,33 +257,71 @@ def linked(docs: DataFrame, nodes: DataFrame, rounds: int = ROUNDS, small: int =
     large = entries.where(F.col("n") > small).select("cell", "node", F.col("node").alias("label"))
     found, used = [], [entries, sets]
     for k in range(rounds):
-        leaders = large.groupBy("cell").agg(F.min(F.struct(F.xxhash64("label", "cell", F.lit(k)).alias("h"), F.col("label").alias("its"), F.col("node").alias("leader"))).alias("l"))
-        drawn = large.join(leaders.select("cell", "l.leader", "l.its"), "cell").where("label <> its").select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b"))
+        drawn = _drawn(large, k)
         possible = storage.written(_possible((drawn if k else pairs.unionByName(drawn)).distinct(), sets), "copies-possible")
         found.append(storage.written(_confirmed(possible, sets), "copies-pairs"))
         storage.drop(possible)
-        links = found[0]
-        for more in found[1:]:
-            links = links.unionByName(more)
         last = k == rounds - 1 or large.isEmpty()
-        labels = components(links, None if last else PASSES)
+        labels = components(_all(found), None if last else PASSES)
         if last:
             break
-        now = large.select("cell", "node").join(labels.select("node", "label").hint("merge"), "node", "left").select("cell", "node", F.coalesce("label", "node").alias("label"))
-        now = storage.written(now, "copies-labelled")
-        open_cells = now.groupBy("cell").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("cell")
-        large = storage.written(now.join(open_cells, "cell", "left_semi"), "copies-cells")
-        storage.drop(now, labels)
+        large = _still_open(large, labels)
+        storage.drop(labels)
         used.append(large)
-    storage.drop(*used, *found)
+    storage.drop(*used)
+    return found, labels
+
+
+def _first_cells(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """cell, node, n, at, label: entries under the sets' first elements (the at-th of n), in cells that hold several components."""
+    named = nodes.join(labels.select("node", "label").hint("merge"), "node", "left").select("node", "n", F.coalesce("label", "node").alias("label"), F.posexplode("first").alias("at", "cell"))
+    cell = Window.partitionBy("cell")
+    held = named.withColumns({"lo": F.min("label").over(cell), "hi": F.max("label").over(cell)})
+    return storage.written(held.where("lo < hi").select("cell", "node", "n", "at", "label"), "copies-cells")
+
+
+def linked(docs: DataFrame, nodes: DataFrame, rounds: int = ROUNDS, small: int = SMALL, few: float = FEW) -> DataFrame:
+    """(node, label) for every node that is linked to another; label is the smallest of its component. A written table.
+
+    nodes: node, text_key, n, fp, cells, first; a row for each distinct set.
+    """
+    found, labels = _linked_by_most(docs, nodes, rounds, small)
+    cells, enough = _first_cells(nodes, labels), few * nodes.count()
+    for k in range(rounds + 1):
+        sizes = cells.groupBy("cell", "label").agg(F.count("*").cast("double").alias("m")).groupBy("cell").agg((F.pow(F.sum("m"), 2) - F.sum(F.col("m") * F.col("m"))).alias("twice"))
+        left = sizes.agg(F.coalesce(F.sum("twice") / 2, F.lit(0.0))).first()[0]
+        if not left:
+            break
+        last = k == rounds or left <= enough
+        if last:  # sizes and what can follow the first common element leave similar sets in
+            near = "x.cell = y.cell and x.node < y.node and x.label <> y.label and 5 * x.n >= 4 * y.n and 5 * y.n >= 4 * x.n and 9 * least(x.n - x.at, y.n - y.at) >= 4 * (x.n + y.n)"
+            pairs = cells.alias("x").join(cells.alias("y").hint("merge"), F.expr(near)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        else:
+            pairs = _drawn(cells, k)
+        pairs = storage.written(pairs.distinct(), "copies-met")
+        met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        sets = storage.written(_sets(docs, nodes.select("node", "text_key").join(met.hint("merge"), "node")), "copies-sets")
+        possible = storage.written(_possible(pairs, sets), "copies-possible")
+        more = storage.written(_confirmed(possible, sets), "copies-pairs")
+        storage.drop(pairs, sets, possible)
+        found.append(more)
+        if not more.isEmpty():
+            storage.drop(labels)
+            labels = components(_all(found))
+        if last:
+            break
+        was, cells = cells, _still_open(cells, labels)
+        storage.drop(was)
+    storage.drop(cells, *found)
     return labels
 
 
-def near_copies(docs: DataFrame, rounds: int = ROUNDS, small: int = SMALL) -> DataFrame:
+def near_copies(docs: DataFrame, rounds: int = ROUNDS, small: int = SMALL, few: float = FEW) -> DataFrame:
     """Per document: doc_id, text_key, component (a name of the group of near copies it is in). A written table."""
-    of = storage.written(prints(docs), "copies-prints")
-    nodes = storage.written(of.groupBy("node").agg(F.min("text_key").alias("text_key"), F.min("fp").alias("fp"), F.first("cells").alias("cells")), "copies-nodes")
-    labels = linked(docs, nodes, rounds, small)
+    of = storage.written(prints(docs, often_met(docs)), "copies-prints")
+    each = [F.min("text_key").alias("text_key"), F.first("n").alias("n"), F.min("fp").alias("fp"), F.first("cells").alias("cells"), F.first("first").alias("first")]
+    nodes = storage.written(of.groupBy("node").agg(*each), "copies-nodes")
+    labels = linked(docs, nodes, rounds, small, few)
     named = of.select("doc_id", "text_key", "node").join(labels.select("node", "label").hint("merge"), "node", "left").select("doc_id", "text_key", F.coalesce("label", "node").alias("component"))
     out = storage.written(named, "copies")
     storage.drop(of, nodes, labels)

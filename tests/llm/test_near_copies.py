@@ -57,6 +57,18 @@ def test_components_against_brute_force(spark, rounds, small):
         assert all(want[x] == want[k] for k, x in enumerate(got)) and len(set(got)) - len(set(want)) <= 0.1 * (len(texts) - len(set(want)))
 
 
+@pytest.mark.parametrize("few", [10**9, 0])
+def test_no_link_is_left_out(spark, few):
+    """One large cell and one round of drawn members: the links that these miss are found under the sets' first elements."""
+    r, base = random.Random(12), " ".join(f"w{k}" for k in range(200))
+    texts = [edited(r, base, 3) for _ in range(60)] + [edited(r, base, 2) for _ in range(20)]
+    rows = near_copies.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), 1, 2, few).collect()
+    want, least = brute(texts), {}
+    for x in rows:
+        least[x.component] = min(x.doc_id, least.get(x.component, x.doc_id))
+    assert len(set(want)) < len(texts) and [least[x.component] for x in sorted(rows, key=lambda x: x.doc_id)] == want
+
+
 def test_nothing_that_grows_is_broadcast(spark, monkeypatch):
     """Small files may stand for large tables, so no join may trust their size; places are bounded, open cells and leaders few."""
     plans, write = [], near_copies.storage.written
