@@ -7,6 +7,7 @@ setting is missing (a local session, as in tests) is a folder on this machine ta
 from __future__ import annotations
 
 import contextlib
+import gc
 import os
 import tempfile
 import uuid
@@ -52,7 +53,6 @@ def trimmed(run):
             yield from run(batches)
         finally:
             import ctypes
-            import gc
 
             import pyarrow as pa
 
@@ -101,6 +101,13 @@ def drop(*tables: DataFrame) -> None:
         p.getFileSystem(context._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def released(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of finished work. Spark deletes them when the driver's objects of them are collected, which
+    a driver with memory to spare does seldom, so they would pile up beside the written tables."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def local_path(uri: str) -> str | None:
     """The path to open for a file: URI or a plain path; None for other stores."""
     u = urlparse(uri)
