@@ -17,12 +17,12 @@ Each distinct set is one node, however many documents have it.
 Groups: only components are wanted, and a group of thousands would make pairs with its square. So of the first two indexes the
 members of cells of up to SMALL are all compared; in a larger cell each of ROUNDS rounds compares all members with one of another
 component (drawn anew for each cell and round, so a member meets as many as it has large cells), and members that are known to
-be linked by then (PASSES of labels along the links find most that are) are not compared again. In the third, cells of one
-component are done; while the others hold more than FEW pairs a node, rounds compare with drawn members, then (after ROUNDS, or
+be linked by then are not compared again. In the third, cells of one component are done; while the others hold more than FEW pairs a node, rounds compare with drawn members, then (after ROUNDS, or
 sooner: once a round leaves more than MOST of these pairs) every pair of two components is compared.
 
 Disk: sketches are kept with the nodes, and texts move only for sets named by a pair that sizes and sketches leave. Most sets
-that share an element with another share little else: of 132 035 sets in the third index on 0.51 GB some thousands are read.
+that share an element with another share little else, so in the third index sketches stand beside the entries, and a pair that
+they tell apart is never made.
 
 Joins of tables that grow with the documents are sort-merge joins by hint, whatever Spark takes their files to weigh; only the
 drawn members and the open cells, at most one row for each SMALL entries, may be broadcast.
@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.llm import simhash, storage
@@ -46,7 +46,7 @@ from tessella.llm.components import components
 
 WIDTH = 5
 BANDS, ROWS = 20, 5
-ROUNDS, SMALL, PASSES, FEW, MOST = 3, 32, 2, 20, 0.9
+ROUNDS, SMALL, FEW, MOST = 3, 32, 20, 0.9
 SAMPLE, OFTEN, LISTED = 10_000, 3, 50_000
 BLOCK = 1 << 16
 PLACES = 1 << 19
@@ -193,14 +193,18 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return storage.in_batches(texts).mapInArrow(storage.trimmed(read), "node bigint, elements binary")
 
 
+def _alike(n_a: str, of_a: str, n_b: str, of_b: str) -> Column:
+    """What sizes and sketches leave of two sets: of similar sets at most a ninth of both sizes' sum differs."""
+    short, xor = F.least(F.size(of_a), F.size(of_b)), lambda x, y: x.bitwiseXOR(y)
+    folded = [F.when(F.size(c) == short, F.col(c)).otherwise(F.zip_with(F.slice(c, F.lit(1), short), F.slice(c, short + 1, short), xor)) for c in (of_a, of_b)]
+    bits = F.aggregate(F.zip_with(*folded, xor), F.lit(0), lambda x, y: x + F.bit_count(y))
+    return F.expr(f"5 * {n_a} >= 4 * {n_b} and 5 * {n_b} >= 4 * {n_a}") & (9 * bits <= F.col(n_a) + F.col(n_b))
+
+
 def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that sizes and sketches leave: of similar sets at most a ninth of both sizes' sum differs."""
+    """The pairs (a, b) that sizes and sketches leave."""
     one, two = (nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"of_{c}")) for c in "ab")
-    short, xor = F.least(F.size("of_a"), F.size("of_b")), lambda x, y: x.bitwiseXOR(y)
-    folded = [F.when(F.size(c) == short, F.col(c)).otherwise(F.zip_with(F.slice(c, F.lit(1), short), F.slice(c, short + 1, short), xor)) for c in ("of_a", "of_b")]
-    bits = F.aggregate(F.zip_with(*folded, xor), F.lit(0), lambda x, y: x + F.bit_count(y))
-    both = pairs.join(two.hint("merge"), "b").join(one.hint("merge"), "a").where("5 * n_a >= 4 * n_b and 5 * n_b >= 4 * n_a")
-    return both.where(9 * bits <= F.col("n_a") + F.col("n_b")).select("a", "b")
+    return pairs.join(two.hint("merge"), "b").join(one.hint("merge"), "a").where(_alike("n_a", "of_a", "n_b", "of_b")).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -244,6 +248,14 @@ def _drawn(cells: DataFrame, k: int) -> DataFrame:
     return cells.join(leaders.select("cell", "l.leader", "l.its"), "cell").where("label <> its").select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b"))
 
 
+def _drawn_alike(cells: DataFrame, k: int) -> DataFrame:
+    """Of the pairs that `_drawn` gives those that sizes and sketches leave. cells: with n and sketch."""
+    order = F.struct(F.xxhash64("label", "cell", F.lit(k)).alias("h"), F.col("label").alias("its"), F.col("node").alias("leader"), F.col("n").alias("size"), F.col("sketch").alias("seen"))
+    leaders = cells.groupBy("cell").agg(F.min(order).alias("l")).select("cell", "l.leader", "l.its", "l.size", "l.seen")
+    near = cells.join(leaders.hint("merge"), "cell").where(F.expr("label <> its") & _alike("n", "sketch", "size", "seen"))
+    return near.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b"))
+
+
 def _still_open(cells: DataFrame, labels: DataFrame) -> DataFrame:
     """The cells that hold several components, by new labels. A written table."""
     now = cells.drop("label").join(labels.select("node", "label").hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node")).select(cells.columns)
@@ -254,32 +266,32 @@ def _still_open(cells: DataFrame, labels: DataFrame) -> DataFrame:
     return out
 
 
-def _all(tables: list[DataFrame]) -> DataFrame:
-    out = tables[0]
-    for more in tables[1:]:
-        out = out.unionByName(more)
+def _relabelled(labels: DataFrame | None, more: DataFrame) -> DataFrame:
+    """The components of labels and more pairs. Of earlier pairs a link from each node to its label stays, so what is joined
+    again grows with nodes, not with pairs. Both tables are deleted. A written table."""
+    out = components(more if labels is None else labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
+    storage.drop(more, *([] if labels is None else [labels]))
     return out
 
 
-def _linked_by_most(docs: DataFrame, nodes: DataFrame, rounds: int, small: int) -> tuple[list[DataFrame], DataFrame]:
-    """Similar pairs (a, b) that fingerprints and bands find, and the labels they give. Written tables."""
+def _linked_by_most(docs: DataFrame, nodes: DataFrame, rounds: int, small: int) -> DataFrame:
+    """The labels that the similar pairs give which fingerprints and bands find. A written table."""
     entries = _entries(nodes)
     little = entries.where(F.col("n") <= small)
     pairs = little.alias("x").join(little.alias("y").hint("merge"), F.expr("x.cell = y.cell and x.node < y.node")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     large = entries.where(F.col("n") > small).select("cell", "node", F.col("node").alias("label"))
-    found, used = [], [entries]
+    labels, used = None, [entries]
     for k in range(rounds):
         drawn = _drawn(large, k)
-        found.append(_similar(docs, nodes, drawn if k else pairs.unionByName(drawn)))
+        more = _similar(docs, nodes, drawn if k else pairs.unionByName(drawn))
         last = k == rounds - 1 or large.isEmpty()
-        labels = components(_all(found), None if last else PASSES)
+        labels = _relabelled(labels, more)
         if last:
             break
         large = _still_open(large, labels)
-        storage.drop(labels)
         used.append(large)
     storage.drop(*used)
-    return found, labels
+    return labels
 
 
 def _first_cells(nodes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -300,7 +312,7 @@ def linked(docs: DataFrame, nodes: DataFrame, rounds: int = ROUNDS, small: int =
 
     nodes: node, text_key, n, fp, cells, first, sketch; a row for each distinct set.
     """
-    found, labels = _linked_by_most(docs, nodes, rounds, small)
+    labels = _linked_by_most(docs, nodes, rounds, small)
     cells, enough, before = _first_cells(nodes, labels), few * nodes.count(), float("inf")
     for k in range(rounds + 1):
         sizes = cells.groupBy("cell", "label").agg(F.count("*").cast("double").alias("m")).groupBy("cell").agg((F.pow(F.sum("m"), 2) - F.sum(F.col("m") * F.col("m"))).alias("twice"))
@@ -308,21 +320,22 @@ def linked(docs: DataFrame, nodes: DataFrame, rounds: int = ROUNDS, small: int =
         if not left:
             break
         last = k == rounds or left <= enough or left > MOST * before
-        if last:  # sizes and what can follow the first common element leave similar sets in
-            near = "x.cell = y.cell and x.node < y.node and x.label <> y.label and 5 * x.n >= 4 * y.n and 5 * y.n >= 4 * x.n and 9 * least(x.n - x.at, y.n - y.at) >= 4 * (x.n + y.n)"
-            pairs = cells.alias("x").join(cells.alias("y").hint("merge"), F.expr(near)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        sketched = cells.join(nodes.select("node", "sketch").hint("merge"), "node")
+        if last:  # sizes, sketches and what can follow the first common element leave similar sets in
+            near = F.expr("x.cell = y.cell and x.node < y.node and x.label <> y.label and 9 * least(x.n - x.at, y.n - y.at) >= 4 * (x.n + y.n)") & _alike("x.n", "x.sketch", "y.n", "y.sketch")
+            pairs = sketched.alias("x").join(sketched.alias("y").hint("merge"), near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         else:
-            pairs = _drawn(cells, k)
+            pairs = _drawn_alike(sketched, k)
         more = _similar(docs, nodes, pairs)
-        found.append(more)
-        if not more.isEmpty():
-            storage.drop(labels)
-            labels = components(_all(found))
+        if more.isEmpty():
+            storage.drop(more)
+        else:
+            labels = _relabelled(labels, more)
         if last:
             break
         was, cells, before = cells, _still_open(cells, labels), left
         storage.drop(was)
-    storage.drop(cells, *found)
+    storage.drop(cells)
     return labels
 
 

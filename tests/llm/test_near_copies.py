@@ -83,6 +83,34 @@ def test_nothing_that_grows_is_broadcast(spark, monkeypatch):
     assert joins == [] and sum(p.count("SortMergeJoin") for p in plans) >= 10
 
 
+def test_disk_is_for_sets_that_may_be_similar(spark, monkeypatch):
+    """Texts that share a passage and little else: neither texts nor pairs of them are stored, only those of the two that are alike."""
+    r, rows, write = random.Random(6), {}, near_copies.storage.written
+    line = "one line that all of these texts hold somewhere"
+    texts = [" ".join([*(f"w{r.randrange(10**6)}" for _ in range(80)), line]) for _ in range(40)]
+
+    def counted(df, name, **options):
+        out = write(df, name, **options)
+        rows[name] = rows.get(name, 0) + (out.count() if name in ("copies-sets", "copies-possible", "copies-pairs") else 0)
+        return out
+
+    monkeypatch.setattr(near_copies.storage, "written", counted)
+    found = near_copies.near_copies(spark.createDataFrame(list(enumerate([*texts, edited(r, texts[0], 1)])), "doc_id bigint, text string"))
+    assert found.select("component").distinct().count() == 40
+    assert rows["copies-sets"] == 2 and rows["copies-possible"] == rows["copies-pairs"] == 1
+
+
+def test_earlier_pairs_are_joined_again_as_one_link_a_node(spark, monkeypatch):
+    """Forty copies with an edit each: later rounds get a link from each node to its label, not the pairs of all rounds."""
+    r, sizes, label = random.Random(2), [], near_copies.components
+    base = " ".join(f"w{k}" for k in range(300))
+    texts = [edited(r, base, 1) for _ in range(30)] + [edited(r, base, 9) for _ in range(10)]
+    monkeypatch.setattr(near_copies, "components", lambda pairs, *a: sizes.append(pairs.count()) or label(pairs, *a))
+    found = near_copies.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), 3, 10)
+    assert found.select("component").distinct().count() == len(set(brute(texts)))
+    assert len(sizes) > 1 and max(sizes[1:]) < 80 < sizes[0]
+
+
 def test_the_stage_drops_texts_with_one_word_edited(spark):
     r = random.Random(9)
     base = " ".join(f"w{r.randrange(500)}" for _ in range(248))
