@@ -249,10 +249,11 @@ def _drawn(cells: DataFrame, k: int) -> DataFrame:
 
 
 def _drawn_alike(cells: DataFrame, k: int) -> DataFrame:
-    """Of the pairs that `_drawn` gives those that sizes and sketches leave. cells: with n and sketch."""
-    order = F.struct(F.xxhash64("label", "cell", F.lit(k)).alias("h"), F.col("label").alias("its"), F.col("node").alias("leader"), F.col("n").alias("size"), F.col("sketch").alias("seen"))
-    leaders = cells.groupBy("cell").agg(F.min(order).alias("l")).select("cell", "l.leader", "l.its", "l.size", "l.seen")
-    near = cells.join(leaders.hint("merge"), "cell").where(F.expr("label <> its") & _alike("n", "sketch", "size", "seen"))
+    """Of the pairs that `_drawn` gives those that sizes leave, and what can follow the element if it is their first common one.
+    cells: with n and at."""
+    order = F.struct(F.xxhash64("label", "cell", F.lit(k)).alias("h"), F.col("label").alias("its"), F.col("node").alias("leader"), F.col("n").alias("size"), F.col("at").alias("its_at"))
+    leaders = cells.groupBy("cell").agg(F.min(order).alias("l")).select("cell", "l.leader", "l.its", "l.size", "l.its_at")
+    near = cells.join(leaders, "cell").where("label <> its and 5 * n >= 4 * size and 5 * size >= 4 * n and 9 * least(n - at, size - its_at) >= 4 * (n + size)")
     return near.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b"))
 
 
@@ -320,12 +321,12 @@ def linked(docs: DataFrame, nodes: DataFrame, rounds: int = ROUNDS, small: int =
         if not left:
             break
         last = k == rounds or left <= enough or left > MOST * before
-        sketched = cells.join(nodes.select("node", "sketch").hint("merge"), "node")
         if last:  # sizes, sketches and what can follow the first common element leave similar sets in
+            sketched = cells.join(nodes.select("node", "sketch").hint("merge"), "node")
             near = F.expr("x.cell = y.cell and x.node < y.node and x.label <> y.label and 9 * least(x.n - x.at, y.n - y.at) >= 4 * (x.n + y.n)") & _alike("x.n", "x.sketch", "y.n", "y.sketch")
             pairs = sketched.alias("x").join(sketched.alias("y").hint("merge"), near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         else:
-            pairs = _drawn_alike(sketched, k)
+            pairs = _drawn_alike(cells, k)
         more = _similar(docs, nodes, pairs)
         if more.isEmpty():
             storage.drop(more)
